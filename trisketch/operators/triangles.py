@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from trisketch.operators.graph import out_neighbours
 
 # A vertex that receives more candidate lists than this gets one more salt per as many.
-LISTS_PER_SALT = 1_000_000
+LISTS_PER_SALT = 100_000
+# A vertex with more out-neighbours than this sends its lists from several tasks.
+RECEIVERS_PER_BLOCK = 1024
 
 
 def closed_wedges(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -18,20 +20,34 @@ def closed_wedges(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
     Every vertex sends, along each out-edge, the part of its out-neighbour list that ranks
     above the receiver; the receiver intersects it with its own list. No pair of neighbours
-    becomes a row of its own. Receivers are salted by their degree, so the lists for a hub
-    spread over tasks; its own list is copied once per salt.
+    becomes a row of its own. Long lists are cut into blocks of receivers, which spread over
+    tasks before they fan out. Receivers are salted by their degree, so the lists for a hub
+    spread as well; its own list is copied once per salt.
     Result: by..., src, mid, closing (array).
     """
     adj = out_neighbours(edges, by)
-    sent = (
+    blocks = (
         adj.where("size(nbrs) > 1")
-        .selectExpr(*by, "src", "nbrs.id AS ids", "posexplode(nbrs) AS (pos, to)")
+        .selectExpr(
+            *by, "src", "nbrs", f"explode(sequence(0, (size(nbrs) - 2) div {RECEIVERS_PER_BLOCK})) AS block"
+        )
+        .selectExpr(
+            *by,
+            "src",
+            "block",
+            f"slice(nbrs.deg, block * {RECEIVERS_PER_BLOCK} + 1, {RECEIVERS_PER_BLOCK}) AS degs",
+            f"slice(nbrs.id, block * {RECEIVERS_PER_BLOCK} + 1, size(nbrs)) AS ids",
+        )
+        .repartition(*by, "src", "block")
+    )
+    sent = (
+        blocks.selectExpr(*by, "src", "ids", "posexplode(degs) AS (pos, deg)")
         .where("pos < size(ids) - 1")
         .selectExpr(
             *by,
             "src",
-            "to.id AS mid",
-            f"pmod(xxhash64(src), 1 + to.deg div {LISTS_PER_SALT}) AS salt",
+            "ids[pos] AS mid",
+            f"pmod(xxhash64(src), 1 + deg div {LISTS_PER_SALT}) AS salt",
             "slice(ids, pos + 2, size(ids)) AS above",
         )
     )
