@@ -41,7 +41,7 @@ def threshold_batches(ledger: DataFrame, threshold: int | object, block: int = 1
     Result: batch_id, n, total_before. The running total goes through blocks of batch ids, so
     only one row per `block` batches meets in a single task.
     """
-    ledger = ledger.withColumn("block", F.floor(F.col("batch_id") / block))
+    ledger = ledger.withColumn("block", F.floor(F.col("batch_id") / block)).where("block IS NOT NULL")
     totals = ledger.groupBy("block").agg(F.sum("n").alias("block_n"))
     earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
     over_blocks = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

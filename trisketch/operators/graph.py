@@ -16,7 +16,7 @@ def canonical_edges(edges: DataFrame) -> DataFrame:
     """Undirected simple edges: u < v, copies, reversed copies and self-loops removed."""
     return (
         edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-        .where("u < v")
+        .where("u < v AND u IS NOT NULL AND v IS NOT NULL")
         .distinct()
     )
 
@@ -60,6 +60,9 @@ def orient(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Out-degrees are then at most sqrt(2m), whatever the degree of a hub is.
     Result: by..., src, src_deg, dst, dst_deg.
     """
+    # Said once here, the planner need not infer it per branch, and the branches stay equal
+    # and share their exchanges.
+    edges = edges.where(" AND ".join(f"{c} IS NOT NULL" for c in (*by, "u", "v")))
     deg = degrees(edges, by)
     ends = deg.agg(F.sum("deg").alias("ends"))
     hot = deg.where(F.col("deg") * HOT_VERTICES > ends.scalar())

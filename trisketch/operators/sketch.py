@@ -35,13 +35,13 @@ def count_sketch(items: DataFrame, rows: Rows, width: int, by: Sequence[str] = (
     Map-side sums leave at most depth * width rows per task to shuffle, however many
     distinct items there are.
     """
-    updates = cell_updates(items, rows, width)
+    updates = cell_updates(items, rows, width).where("c IS NOT NULL AND j IS NOT NULL")
     return updates.groupBy(*by, "j", "c").agg(F.sum(F.col("s").cast("bigint")).alias("val"))
 
 
 def count_sketch_of_frequencies(freq: DataFrame, rows: Rows, width: int) -> DataFrame:
-    """The same sketch from a frequency table."""
-    updates = cell_updates(freq, rows, width)
+    """The same sketch from a frequency table, where that is needed anyway: no second scan."""
+    updates = cell_updates(freq, rows, width).where("c IS NOT NULL AND j IS NOT NULL")
     return updates.groupBy("j", "c").agg(F.sum(F.col("f") * F.col("s")).alias("val"))
 
 

@@ -59,8 +59,20 @@ class Stream:
     def sketch(self, spark: SparkSession, sf: str, rows: sk.Rows = ROWS) -> DataFrame:
         return sk.count_sketch(self.in_range(spark, sf), rows, self.width)
 
+    def folded_sketch(self, freq: DataFrame, rows: sk.Rows = ROWS) -> DataFrame:
+        return sk.count_sketch_of_frequencies(freq, rows, self.width)
+
     def heavy(self, spark: SparkSession, sf: str, rows: sk.Rows = ROWS) -> DataFrame:
-        return rp.heavy_hitters(self.freq(spark, sf), self.sketch(spark, sf, rows), rows, self.width, self.k)
+        freq = self.freq(spark, sf)
+        return rp.heavy_hitters(freq, self.folded_sketch(freq, rows), rows, self.width, self.k)
+
+    def row_estimates(self, spark: SparkSession, sf: str) -> DataFrame:
+        freq = self.freq(spark, sf)
+        return sk.row_estimates(fr.top_k_with_ties(freq, self.k), self.folded_sketch(freq), ROWS, self.width)
+
+    def moments(self, spark: SparkSession, sf: str) -> DataFrame:
+        freq = self.freq(spark, sf)
+        return rp.second_moments(freq, self.folded_sketch(freq), len(ROWS))
 
     def report(self, length: DataFrame, freq: DataFrame, sketch: DataFrame) -> DataFrame:
         return rounded(
@@ -132,6 +144,11 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
     return USERS.read(spark, sf).select("event_id", F.col("user_id").cast("string").alias("value"))
 
 
+def batch_report(stream: Stream, spark: SparkSession, sf: str) -> DataFrame:
+    freq = stream.freq(spark, sf)
+    return stream.report(fr.stream_length(stream.items(spark, sf)), freq, stream.folded_sketch(freq))
+
+
 # ---- both streams ----------------------------------------------------------
 
 for suffix, S in (("", USERS), ("_parts", PARTS)):
@@ -163,9 +180,7 @@ for suffix, S in (("", USERS), ("_parts", PARTS)):
     )
     register(
         f"sketch_row_estimates{suffix}",
-        lambda s, d, S=S: sk.row_estimates(
-            fr.top_k_with_ties(S.freq(s, d), S.k), S.sketch(s, d), ROWS, S.width
-        ),
+        lambda s, d, S=S: S.row_estimates(s, d),
         f"WITH {C} SELECT item, f, j, est FROM est",
     )
     register(
@@ -191,7 +206,7 @@ for suffix, S in (("", USERS), ("_parts", PARTS)):
     )
     register(
         f"second_moment_estimate{suffix}",
-        lambda s, d, S=S: as_double(rp.second_moments(S.freq(s, d), S.sketch(s, d), len(ROWS)), "f2_est"),
+        lambda s, d, S=S: as_double(S.moments(s, d), "f2_est"),
         f"""WITH {C} SELECT CAST(f2 AS DOUBLE) AS f2_est,
   CAST(f2 AS DOUBLE) / ((SELECT n FROM n) * (SELECT n FROM n)) AS f2_est_norm FROM f2_median""",
     )
@@ -208,7 +223,7 @@ for suffix, S in (("", USERS), ("_parts", PARTS)):
     )
     register(
         f"stream_report{suffix}",
-        lambda s, d, S=S: S.report(fr.stream_length(S.items(s, d)), S.freq(s, d), S.sketch(s, d)),
+        lambda s, d, S=S: batch_report(S, s, d),
         S.report_sql(),
     )
 
@@ -340,15 +355,14 @@ def stream_ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_threshold(spark: SparkSession, sf: str) -> DataFrame:
-    counts = lg.folded_counts(spark, ledger_run(spark, sf)).where("item IS NOT NULL")
-    return counts
+    return lg.folded_counts(spark, ledger_run(spark, sf)).where("item IS NOT NULL")
 
 
 def report_at_threshold(spark: SparkSession, sf: str) -> DataFrame:
     counts = lg.folded_counts(spark, ledger_run(spark, sf))
     freq = fr.merge_batch_counts(counts.where("item IS NOT NULL"))
     length = counts.agg(F.sum("f").alias("n_items"))
-    return USERS.report(length, freq, sk.count_sketch_of_frequencies(freq, ROWS, USERS.width))
+    return USERS.report(length, freq, USERS.folded_sketch(freq))
 
 
 register(
