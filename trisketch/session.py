@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int, memory: str = "8g") -> SparkSession:
@@ -39,3 +39,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="trisketch-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame once to the shared folder and go on from the written table.
+
+    For edges that many jobs read: it cuts the lineage, and lost executors cost no recompute.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
