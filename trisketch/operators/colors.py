@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from trisketch.functions.hashing import EDGE_HASH, affine_hash, edge_hash, require_positive, run_table
 from trisketch.functions.medians import truncated_median
-from trisketch.operators.graph import vertices
-from trisketch.operators.triangles import triangle_list, triangles_by_group
+from trisketch.operators.graph import orient, vertices
+from trisketch.operators.triangles import closed_triangles, triangle_list, triangles_by_group
 
 # ---- node colours ----------------------------------------------------------
 
@@ -135,15 +135,17 @@ def _unpacked(base: int) -> list[Column]:
     ]
 
 
-def edge_color_triplets(edges: DataFrame, colors: int, a: int, b: int) -> DataFrame:
+def edge_color_triplets(
+    edges: DataFrame, colors: int, a: int, b: int, ends: tuple[str, str] = ("u", "v")
+) -> DataFrame:
     """Every edge once per colour i under the sorted colours of (u, v, i), packed as one BIGINT."""
     require_positive(colors=colors)
-    hu, hv = affine_hash(F.col("u"), a, b, colors), affine_hash(F.col("v"), a, b, colors)
+    hu, hv = (affine_hash(F.col(end), a, b, colors) for end in ends)
     copies = edges.select(
-        "u", "v", hu.alias("hu"), hv.alias("hv"), F.explode(F.sequence(F.lit(0), F.lit(colors - 1))).alias("i")
+        "*", hu.alias("hu"), hv.alias("hv"), F.explode(F.sequence(F.lit(0), F.lit(colors - 1))).alias("i")
     )
     key = _packed([F.col("hu"), F.col("hv"), F.col("i")], colors)
-    return copies.select(key.alias("triplet"), "u", "v")
+    return copies.select(key.alias("triplet"), *edges.columns)
 
 
 def unpack_triplets(keyed: DataFrame, colors: int) -> DataFrame:
@@ -172,9 +174,11 @@ def triangles_by_triplet(edges: DataFrame, colors: int, a: int, b: int) -> DataF
 
 def triangles_by_triplet_replicated(edges: DataFrame, colors: int, a: int, b: int) -> DataFrame:
     """t_k from the replicated edges: enumerate inside every key, keep triangles whose sorted
-    colours equal the key. Same result as `triangles_by_triplet` at `colors` times the edges.
+    colours equal the key. Same result as `triangles_by_triplet` at `colors` times the edges,
+    which are copied only after they have been oriented.
     """
-    found = triangle_list(edge_color_triplets(edges, colors, a, b), ["triplet"])
+    copies = edge_color_triplets(orient(edges), colors, a, b, ends=("src", "dst"))
+    found = closed_triangles(copies.where("triplet IS NOT NULL"), ["triplet"])
     matching = found.where(F.col("triplet") == _corner_triplet(colors, a, b))
     return matching.groupBy("triplet").agg(F.count("*").alias("t"))
 

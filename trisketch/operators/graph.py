@@ -29,49 +29,45 @@ def vertices(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("u", "v")).alias("id")).distinct()
 
 
-def degrees(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Degree of every vertex, inside each group of `by`."""
-    ends = edges.select(*by, F.explode(F.array("u", "v")).alias("id")).where("id IS NOT NULL")
-    return ends.groupBy(*by, "id").agg(F.count("*").alias("deg"))
+def degrees(edges: DataFrame) -> DataFrame:
+    ends = edges.select(F.explode(F.array("u", "v")).alias("id")).where("id IS NOT NULL")
+    return ends.groupBy("id").agg(F.count("*").alias("deg"))
 
 
-def _attach_degree(
-    edges: DataFrame, deg: DataFrame, hot: DataFrame, end: str, other: str, by: Sequence[str]
-) -> DataFrame:
+def _attach_degree(edges: DataFrame, deg: DataFrame, hot: DataFrame, end: str, other: str) -> DataFrame:
     """Add deg_<end>. Hot vertices come from the bounded broadcast; their edges then carry
     a salt, so the shuffle that looks up the rest never gathers a hot vertex in one task.
     """
-    hot = hot.select(*by, F.col("id").alias(end), F.col("deg").alias("hot_deg"))
-    rest = deg.select(
-        *by, F.col("id").alias(end), F.lit(0).cast("bigint").alias("salt"), F.col("deg").alias("cold_deg")
-    )
+    hot = hot.selectExpr(f"id AS {end}", "deg AS hot_deg")
+    rest = deg.selectExpr(f"id AS {end}", "0L AS salt", "deg AS cold_deg")
     return (
-        edges.join(F.broadcast(hot), [*by, end], "left")
-        .withColumn("salt", F.when(F.col("hot_deg").isNull(), F.lit(0)).otherwise(F.xxhash64(other)))
-        .join(rest, [*by, end, "salt"], "left")
+        edges.join(F.broadcast(hot), end, "left")
+        .withColumn("salt", F.expr(f"if(hot_deg IS NULL, 0L, xxhash64({other}))"))
+        .join(rest, [end, "salt"], "left")
         .withColumn(f"deg_{end}", F.coalesce("hot_deg", "cold_deg"))
         .drop("salt", "hot_deg", "cold_deg")
     )
 
 
-def orient(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def orient(edges: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Point every canonical edge from its lower to its higher (degree, id) end.
 
-    Out-degrees are then at most sqrt(2m), whatever the degree of a hub is.
-    Result: by..., src, src_deg, dst, dst_deg.
+    Out-degrees are then at most sqrt(2m), whatever the degree of a hub is. That also holds
+    inside every group of edges, so one orientation serves any later split of the edges.
+    Result: keep..., src, src_deg, dst, dst_deg.
     """
     # Said once here, the planner need not infer it per branch, and the branches stay equal
     # and share their exchanges.
-    edges = edges.where(" AND ".join(f"{c} IS NOT NULL" for c in (*by, "u", "v")))
-    deg = degrees(edges, by)
+    edges = edges.where(" AND ".join(f"{c} IS NOT NULL" for c in (*keep, "u", "v")))
+    deg = degrees(edges)
     ends = deg.agg(F.sum("deg").alias("ends"))
     hot = deg.where(F.col("deg") * HOT_VERTICES > ends.scalar())
-    known = _attach_degree(edges, deg, hot, "u", "v", by)
-    known = _attach_degree(known, deg, hot, "v", "u", by)
+    known = _attach_degree(edges, deg, hot, "u", "v")
+    known = _attach_degree(known, deg, hot, "v", "u")
     return (
         known.withColumn("forward", F.expr("struct(deg_u, u) < struct(deg_v, v)"))
         .selectExpr(
-            *by,
+            *keep,
             "if(forward, u, v) AS src",
             "if(forward, deg_u, deg_v) AS src_deg",
             "if(forward, v, u) AS dst",
@@ -81,14 +77,10 @@ def orient(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def out_neighbours(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Per vertex its out-neighbours under `orient`, ascending by (deg, id).
+def out_neighbours(oriented: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per vertex, inside each group of `by`, its out-neighbours ascending by (deg, id).
 
     A list holds at most sqrt(2m) entries. Result: by..., src, src_deg, nbrs.
     """
     neighbour = F.expr("struct(dst_deg AS deg, dst AS id)")
-    return (
-        orient(edges, by)
-        .groupBy(*by, "src", "src_deg")
-        .agg(F.sort_array(F.collect_list(neighbour)).alias("nbrs"))
-    )
+    return oriented.groupBy(*by, "src", "src_deg").agg(F.sort_array(F.collect_list(neighbour)).alias("nbrs"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trisketch.operators.graph import out_neighbours
+from trisketch.operators.graph import orient, out_neighbours
 
 # A vertex that receives more candidate lists than this gets one more salt per as many.
 LISTS_PER_SALT = 100_000
@@ -15,8 +15,8 @@ LISTS_PER_SALT = 100_000
 RECEIVERS_PER_BLOCK = 1024
 
 
-def closed_wedges(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Per oriented edge (src, mid) the third vertices that close a triangle.
+def closed_wedges(oriented: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per oriented edge (src, mid), inside each group of `by`, the third vertices that close a triangle.
 
     Every vertex sends, along each out-edge, the part of its out-neighbour list that ranks
     above the receiver; the receiver intersects it with its own list. No pair of neighbours
@@ -25,7 +25,7 @@ def closed_wedges(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     spread as well; its own list is copied once per salt.
     Result: by..., src, mid, closing (array).
     """
-    adj = out_neighbours(edges, by)
+    adj = out_neighbours(oriented, by)
     blocks = (
         adj.where("size(nbrs) > 1")
         .selectExpr(
@@ -63,21 +63,26 @@ def closed_wedges(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def triangle_list(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Every triangle of canonical edges once, as (by..., a, b, c) with a < b < c."""
-    corners = closed_wedges(edges, by).select(*by, "src", "mid", F.explode("closing").alias("far"))
+def closed_triangles(oriented: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Every triangle of oriented edges once, as (by..., a, b, c) with a < b < c."""
+    corners = closed_wedges(oriented, by).select(*by, "src", "mid", F.explode("closing").alias("far"))
     low, high = F.least("src", "mid", "far"), F.greatest("src", "mid", "far")
     between = F.greatest(F.least("src", "mid"), F.least(F.greatest("src", "mid"), F.col("far")))
     return corners.select(*by, low.alias("a"), between.alias("b"), high.alias("c"))
 
 
+def triangle_list(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The same for canonical edges."""
+    return closed_triangles(orient(edges, by), by)
+
+
 def triangle_count(edges: DataFrame) -> DataFrame:
     """One row: the exact number of triangles."""
     found = F.sum(F.size("closing").cast("bigint"))
-    return closed_wedges(edges).agg(F.coalesce(found, F.lit(0)).alias("triangles"))
+    return closed_wedges(orient(edges)).agg(F.coalesce(found, F.lit(0)).alias("triangles"))
 
 
 def triangles_by_group(edges: DataFrame, by: Sequence[str]) -> DataFrame:
     """Triangles formed by the edges of each group, (by..., t); groups without one are absent."""
-    found = closed_wedges(edges, by).where(F.size("closing") > 0)
+    found = closed_wedges(orient(edges, by), by).where(F.size("closing") > 0)
     return found.groupBy(*by).agg(F.sum(F.size("closing").cast("bigint")).alias("t"))
