@@ -118,10 +118,10 @@ def approx_by_partition(parted: DataFrame, partitions: int) -> DataFrame:
 # ---- colour triplets -------------------------------------------------------
 
 
-def _packed(colors: list[Column], base: int) -> Column:
-    ordered = F.array_sort(F.array(*colors))
-    c0, c1, c2 = (F.get(ordered, i).cast("bigint") for i in range(3))
-    return (c0 * base + c1) * base + c2
+def _packed(x: Column, y: Column, z: Column, base: int) -> Column:
+    """Three colours, sorted ascending, as the digits of one BIGINT."""
+    low, high = F.least(x, y, z), F.greatest(x, y, z)
+    return (low.cast("bigint") * base + (x + y + z - low - high)) * base + high
 
 
 def _unpacked(base: int) -> list[Column]:
@@ -144,7 +144,7 @@ def edge_color_triplets(
     copies = edges.select(
         "*", hu.alias("hu"), hv.alias("hv"), F.explode(F.sequence(F.lit(0), F.lit(colors - 1))).alias("i")
     )
-    key = _packed([F.col("hu"), F.col("hv"), F.col("i")], colors)
+    key = _packed(F.col("hu"), F.col("hv"), F.col("i"), colors)
     return copies.select(key.alias("triplet"), *edges.columns)
 
 
@@ -158,7 +158,7 @@ def edges_per_triplet(keyed: DataFrame) -> DataFrame:
 
 
 def _corner_triplet(colors: int, a: Column | int, b: Column | int) -> Column:
-    return _packed([affine_hash(F.col(v), a, b, colors) for v in ("a", "b", "c")], colors)
+    return _packed(*[affine_hash(F.col(v), a, b, colors) for v in ("a", "b", "c")], colors)
 
 
 def triangles_by_triplet(edges: DataFrame, colors: int, a: int, b: int) -> DataFrame:
