@@ -2,6 +2,7 @@ from collections import Counter
 
 import pytest
 from brute import random_graph, simple, triangles
+from pyspark.sql import functions as F
 
 from trisketch.operators import graph, triangles as tri
 
@@ -87,3 +88,41 @@ def test_a_hub_with_a_third_of_all_edges(edges_of):
         adjacency.setdefault(v, set()).add(u)
     expected = sum(len(adjacency[u] & adjacency[v]) for u, v in clean) // 3
     assert tri.triangle_count(graph.canonical_edges(edges_of(pairs))).first().triangles == expected
+
+
+@pytest.fixture
+def fixed_partitions(spark):
+    """Plan without runtime help: what spreads here spreads by its keys."""
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def rows_per_partition(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+@pytest.mark.parametrize("hub", [-1, 1000, 10_000])
+def test_the_edges_of_a_hub_spread_over_tasks(edges_of, fixed_partitions, hub):
+    pairs = [(hub, i) for i in range(4000)] + [(i, i + 1) for i in range(4000)]
+    sizes = rows_per_partition(graph.orient(graph.canonical_edges(edges_of(pairs))))
+    assert len(sizes) == 8 and max(sizes) < 1.5 * sum(sizes) / 8
+
+
+def test_the_lists_a_hub_receives_spread_over_tasks(edges_of, fixed_partitions, monkeypatch):
+    monkeypatch.setattr(tri, "LISTS_PER_SALT", 50)
+    pairs = [(hub, i) for hub in (-1, -2) for i in range(-2, 4000)]
+    closed = tri.closed_wedges(graph.orient(graph.canonical_edges(edges_of(pairs))))
+    sizes = rows_per_partition(closed)
+    assert sum(sizes) == 4000 and len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8

@@ -35,17 +35,18 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 
 def _attach_degree(edges: DataFrame, deg: DataFrame, hot: DataFrame, end: str, other: str) -> DataFrame:
-    """Add deg_<end>. Hot vertices come from the bounded broadcast; their edges then carry
-    a salt, so the shuffle that looks up the rest never gathers a hot vertex in one task.
+    """Add deg_<end>. Hot vertices come from the bounded broadcast; in the shuffle that looks
+    up the rest their edges go by a hash of the other end, so none gathers in one task. What
+    such a key may match by chance is ignored, and as ids are unique it adds no row.
     """
     hot = hot.selectExpr(f"id AS {end}", "deg AS hot_deg")
-    rest = deg.selectExpr(f"id AS {end}", "0L AS salt", "deg AS cold_deg")
+    rest = deg.selectExpr("id AS lookup", "deg AS cold_deg")
     return (
         edges.join(F.broadcast(hot), end, "left")
-        .withColumn("salt", F.expr(f"if(hot_deg IS NULL, 0L, xxhash64({other}))"))
-        .join(rest, [end, "salt"], "left")
+        .withColumn("lookup", F.expr(f"if(hot_deg IS NULL, {end}, xxhash64({other}))"))
+        .join(rest, "lookup", "left")
         .withColumn(f"deg_{end}", F.coalesce("hot_deg", "cold_deg"))
-        .drop("salt", "hot_deg", "cold_deg")
+        .drop("lookup", "hot_deg", "cold_deg")
     )
 
 

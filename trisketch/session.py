@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import functools
 import tempfile
 import uuid
 
@@ -26,6 +26,11 @@ def local_session(cpus: int, memory: str = "8g") -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="trisketch-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path under spark.checkpoint.dir.
 
@@ -36,9 +41,8 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="trisketch-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+        base = _local_base()
+    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
