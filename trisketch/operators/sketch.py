@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trisketch.functions.hashing import affine_hash, require_positive, row_table, sign_hash
+from trisketch.functions.hashing import P, affine_hash, require_positive, row_table, sign_hash
 from trisketch.functions.medians import truncated_decimal_median, truncated_median
 
 Rows = Sequence[tuple[int, int, int, int]]
 
-# A sketch has at most depth * width rows; up to here a lookup broadcasts it.
+# A sketch has at most depth * min(width, p) rows; up to here a lookup broadcasts it.
 BROADCAST_CELLS = 1_000_000
 
 
@@ -29,20 +29,37 @@ def cell_updates(items: DataFrame, rows: Rows, width: int) -> DataFrame:
     )
 
 
+def _residue() -> Column:
+    return F.pmod(F.col("item"), F.lit(P).cast("bigint")).alias("item")
+
+
+def _fold(residues: DataFrame, rows: Rows, width: int, by: Sequence[str]) -> DataFrame:
+    """Cells from (by..., item, f) with item already reduced mod p."""
+    updates = cell_updates(residues, rows, width).where("c IS NOT NULL AND j IS NOT NULL")
+    return updates.groupBy(*by, "j", "c").agg(F.sum(F.col("f") * F.col("s")).alias("val"))
+
+
 def count_sketch(items: DataFrame, rows: Rows, width: int, by: Sequence[str] = ()) -> DataFrame:
     """Sketch straight from raw items, (by..., j, c, val).
 
-    Map-side sums leave at most depth * width rows per task to shuffle, however many
-    distinct items there are.
+    Both hashes see an item only mod p. So the items are counted by residue first: at most p
+    map-side counters per task however many distinct items there are, and only those fan
+    out over the sketch rows.
     """
-    updates = cell_updates(items, rows, width).where("c IS NOT NULL AND j IS NOT NULL")
-    return updates.groupBy(*by, "j", "c").agg(F.sum(F.col("s").cast("bigint")).alias("val"))
+    residues = items.select(*by, _residue()).groupBy(*by, "item").agg(F.count("*").alias("f"))
+    return _fold(residues, rows, width, by)
 
 
 def count_sketch_of_frequencies(freq: DataFrame, rows: Rows, width: int) -> DataFrame:
     """The same sketch from a frequency table, where that is needed anyway: no second scan."""
-    updates = cell_updates(freq, rows, width).where("c IS NOT NULL AND j IS NOT NULL")
-    return updates.groupBy("j", "c").agg(F.sum(F.col("f") * F.col("s")).alias("val"))
+    residues = freq.select(_residue(), "f").groupBy("item").agg(F.sum("f").alias("f"))
+    return _fold(residues, rows, width, ())
+
+
+def count_sketch_in_one_step(items: DataFrame, rows: Rows, width: int) -> DataFrame:
+    """The same sketch by a single aggregate, as a stateful streaming query needs it."""
+    updates = cell_updates(items, rows, width).where("c IS NOT NULL AND j IS NOT NULL")
+    return updates.groupBy("j", "c").agg(F.sum(F.col("s").cast("bigint")).alias("val"))
 
 
 def merge_sketches(sketches: DataFrame) -> DataFrame:
@@ -63,7 +80,7 @@ def dense_sketch(sketch: DataFrame, depth: int, width: int) -> DataFrame:
 
 def row_estimates(freq: DataFrame, sketch: DataFrame, rows: Rows, width: int) -> DataFrame:
     """Per item and sketch row the estimate val * s: (item, f, j, est)."""
-    cells = F.broadcast(sketch) if len(rows) * width <= BROADCAST_CELLS else sketch
+    cells = F.broadcast(sketch) if len(rows) * min(width, P) <= BROADCAST_CELLS else sketch
     looked_up = cell_updates(freq, rows, width).join(cells, ["j", "c"], "left")
     return looked_up.select("item", "f", "j", (F.coalesce("val", F.lit(0)) * F.col("s")).alias("est"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trisketch.operators.frequency import frequencies, items_in_range
-from trisketch.operators.sketch import Rows, count_sketch
+from trisketch.operators.sketch import Rows, count_sketch_in_one_step
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -32,7 +32,7 @@ def frequency_state(items: DataFrame, left: int, right: int) -> DataFrame:
 
 def sketch_state(items: DataFrame, rows: Rows, width: int, left: int, right: int) -> DataFrame:
     """(j, c, val) over the whole stream, from raw items: at most depth * width keys of state."""
-    return count_sketch(items_in_range(items, left, right), rows, width)
+    return count_sketch_in_one_step(items_in_range(items, left, right), rows, width)
 
 
 def start_updates(state: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
