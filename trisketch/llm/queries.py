@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trisketch.llm import pii
 from trisketch.llm import token_counts as tc
 
+PII_KEY = "public test key"  # a production run takes it from its secret store
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +28,10 @@ def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["op1_token_counts"] = op1_token_counts
+
+
+def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.pseudonymize(documents(spark, sf), PII_KEY).select("doc_id", "text", "n_personal")
+
+
+QUERIES["op7_pii"] = op7_pii
