@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trisketch.llm import pii
 from trisketch.llm import token_counts as tc
+from trisketch.llm import toxicity as tx
 
 PII_KEY = "public test key"  # a production run takes it from its secret store
 
@@ -35,3 +36,17 @@ def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["op7_pii"] = op7_pii
+
+
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")
+    scored = tx.toxicity(docs.select("doc_id", "text"), tx.train_on(docs, labels))
+    return scored.select(
+        "doc_id",
+        tx.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+QUERIES["op3_toxicity"] = op3_toxicity
