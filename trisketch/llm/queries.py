@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trisketch.llm import decontamination as dc
 from trisketch.llm import pii
 from trisketch.llm import token_counts as tc
 from trisketch.llm import toxicity as tx
+from trisketch.llm.shipping import ship
 
 PII_KEY = "public test key"  # a production run takes it from its secret store
 
@@ -20,7 +22,7 @@ ORACLES: dict[str, str] = {}
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/documents.parquet")
+    return ship(spark).read.parquet(f"{sf}/documents.parquet")
 
 
 def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -50,3 +52,24 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["op3_toxicity"] = op3_toxicity
+
+
+def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return dc.contamination(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+QUERIES["op2_decontamination"] = op2_decontamination
+ORACLES["op2_decontamination"] = r"""
+WITH words AS (
+  SELECT 0 AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+  UNION ALL
+  SELECT 1, item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda w: w <> '') FROM benchmark),
+shingles AS (
+  SELECT DISTINCT kind, id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle
+  FROM words WHERE len(w) > 0),
+items AS (SELECT id, shingle, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 1)
+SELECT d.id AS doc_id, i.id AS item_id, i.n AS n_item, count(*) AS n_shared, count(*) / i.n AS containment
+FROM (SELECT * FROM shingles WHERE kind = 0) d JOIN items i USING (shingle)
+GROUP BY d.id, i.id, i.n HAVING 4 * count(*) >= 3 * i.n"""

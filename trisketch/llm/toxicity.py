@@ -180,13 +180,14 @@ def learn(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Le
     def rate(column: str, n: int) -> Column:
         return (F.col(column) + 0.5) / (n + 1)
 
+    error = 1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5)  # a term that few documents hold weighs less
     totals = F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
     counts = sample.mapInArrow(_counted(_word_features), "term string, toxic long, clean long")
     weighted = (
         counts.groupBy("term")
         .agg(*totals)
         .where(F.col("toxic") >= LEAST_DOCUMENTS)
-        .withColumn("weight", F.log(rate("toxic", n_toxic) / rate("clean", n_clean)))
+        .withColumn("weight", F.log(rate("toxic", n_toxic) / rate("clean", n_clean)) - F.sqrt(error))
         .where(F.col("weight") >= LEAST_WEIGHT)
     )
     terms = _kept_terms(weighted.orderBy(F.col("weight").desc(), "term").limit(LEXICON_SIZE).collect())
