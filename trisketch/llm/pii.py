@@ -28,8 +28,8 @@ PERSONAL = "|".join([SECRET, ACCESS_KEY, EMAIL, IPV4, ISO_DATE, DAY_DATE.replace
 FIRST_DAY, DAYS_HIGH, DAYS_LOW = "1800-01-01", 189, 773
 
 
-def _digest(key: str, name: str, number: Column, other: Column) -> Column:
-    return F.sha2(F.concat_ws("|", F.lit(key), F.lit(name), number.cast("string"), other), 256)
+def _digest(key: str, name: Column, number: Column, other: Column) -> Column:
+    return F.sha2(F.concat_ws("|", F.lit(key), name, number.cast("string"), other), 256)
 
 
 def _hex(digits: Column) -> Column:
@@ -44,64 +44,64 @@ def _each(text: Column, change) -> Column:
 
 def _moved(char: Column, by: Column, letters: Column) -> Column:
     """The character `by` places on within its own class: digits, or small or capital letters."""
+    small, capital = char.between("a", "z"), char.between("A", "Z")
+    first = F.when(small, ord("a")).when(capital, ord("A")).otherwise(ord("0"))
+    size = F.when(small | capital, letters).otherwise(10)
+    return F.char(first + (F.ascii(char) - first + by) % size)
 
-    def turn(first: str, size: Column) -> Column:
-        return F.char(F.lit(ord(first)) + (F.ascii(char) - F.lit(ord(first)) + by) % size)
 
-    return (
-        F.when(char.between("0", "9"), turn("0", F.lit(10)))
-        .when(char.between("a", "z"), turn("a", letters))
-        .when(char.between("A", "Z"), turn("A", letters))
-        .otherwise(char)
-    )
-
-
-def permuted_text(value: Column, key: str, name: str) -> Column:
-    """Feistel permutation of the strings with the same class of character at each place.
+def permuted_text(value: Column, key: str, name: Column) -> Column:
+    """Feistel permutation of the strings of letters and digits with the same class at each place.
 
     Each round adds a keyed digest of one half to the other half, place by place within the
     class of the character. Hexadecimal strings stay hexadecimal.
     """
     half = F.floor(F.length(value) / 2).cast("int")
-    letters = F.when(value.rlike("^[0-9a-f]*$") | value.rlike("^[0-9A-F]*$"), F.lit(6)).otherwise(F.lit(26))
     start = F.struct(
         F.substr(value, F.lit(1), half).alias("a"),
         F.substr(value, half + 1).alias("b"),
-        letters.alias("letters"),
+        F.when(value.rlike("^(?:[0-9a-f]*|[0-9A-F]*)$"), 6).otherwise(26).alias("letters"),
     )
 
     def turn(acc: Column, number: Column) -> Column:
-        digest = _digest(key, name, number, acc["b"])
-        moved = _each(
-            acc["a"],
-            lambda i, c: _moved(c, _hex(F.substr(digest, (i - 1) % 32 * 2 + 1, F.lit(2))), acc["letters"]),
+        both = F.struct(acc["a"].alias("a"), _digest(key, name, number, acc["b"]).alias("digest"))
+        moved = F.aggregate(
+            F.array(both),
+            F.lit(""),
+            lambda _, x: _each(
+                x["a"],
+                lambda i, c: F.when(
+                    c != "", _moved(c, _hex(F.substr(x["digest"], (i - 1) % 32 * 2 + 1, F.lit(2))), acc["letters"])
+                ),
+            ),
         )
         return F.struct(acc["b"].alias("a"), moved.alias("b"), acc["letters"].alias("letters"))
 
-    rounds = F.array(*[F.lit(r) for r in range(ROUNDS)])
-    return F.aggregate(rounds, start, turn, lambda acc: F.concat(acc["a"], acc["b"]))
+    return F.aggregate(_rounds(), start, turn, lambda acc: F.concat(acc["a"], acc["b"]))
 
 
-def permuted_pair(a: Column, b: Column, high: int, low: int, key: str, name: str, finish) -> Column:
-    """Feistel permutation of the pairs in [0, high) x [0, low); `finish(a, b)` shapes the result."""
-    start = F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"))
+def _rounds() -> Column:
+    return F.array(*[F.lit(r) for r in range(ROUNDS)])
 
-    def number_of(number: Column, other: Column) -> Column:
-        return _hex(F.substr(_digest(key, name, number, other.cast("string")), F.lit(1), F.lit(12)))
 
-    def turn(acc: Column, number: Column) -> Column:
-        new_a = (acc["a"] + number_of(number, acc["b"])) % high
-        return F.struct(new_a.alias("a"), acc["b"].alias("b"))
+def permuted_pair(a: Column, b: Column, high: Column, low: Column, key: str, name: Column) -> Column:
+    """Feistel permutation of the pairs in [0, high) x [0, low), as the number a * low + b."""
 
-    def turn_back(acc: Column, number: Column) -> Column:
-        new_b = (acc["b"] + number_of(number, acc["a"])) % low
-        return F.struct(acc["a"].alias("a"), new_b.alias("b"))
+    def turn(acc: Column, number: Column) -> Column:
+        digest = _digest(key, name, number, acc["b"].cast("string"))
+        new = (acc["a"] + _hex(F.substr(digest, F.lit(1), F.lit(12)))) % acc["of_a"]
+        return F.struct(
+            acc["b"].alias("a"), new.alias("b"), acc["of_b"].alias("of_a"), acc["of_a"].alias("of_b")
+        )
 
-    rounds = F.array(*[F.lit(r) for r in range(ROUNDS)])
-    both = F.aggregate(
-        rounds, start, lambda acc, r: F.when(r % 2 == 0, turn(acc, r)).otherwise(turn_back(acc, r))
+    start = F.struct(
+        a.cast("long").alias("a"), b.cast("long").alias("b"), high.cast("long").alias("of_a"), low.cast("long").alias("of_b")
     )
-    return F.aggregate(F.array(both), F.lit(""), lambda _, x: finish(x["a"], x["b"]))
+    return F.aggregate(_rounds(), start, turn, lambda acc: acc["a"] * acc["of_b"] + acc["b"])
+
+
+def _plain(value: Column) -> Column:
+    return F.regexp_replace(value, "[^0-9A-Za-z]", "")
 
 
 def _refilled(value: Column, new: Column) -> Column:
@@ -109,91 +109,120 @@ def _refilled(value: Column, new: Column) -> Column:
     return _each(
         value,
         lambda i, c: F.when(
-            c.rlike("[0-9A-Za-z]"),
-            F.substr(new, F.length(F.regexp_replace(F.substr(value, F.lit(1), i), "[^0-9A-Za-z]", "")), F.lit(1)),
+            c.rlike("[0-9A-Za-z]"), F.substr(new, F.length(_plain(F.substr(value, F.lit(1), i))), F.lit(1))
         ).otherwise(c),
     )
 
 
-def _plain(value: Column) -> Column:
-    return F.regexp_replace(value, "[^0-9A-Za-z]", "")
+def _luhn(digits: Column) -> Column:
+    return F.call_function("luhn_check", digits)
 
 
-def _text_like(value: Column, key: str, name: str) -> Column:
-    return _refilled(value, permuted_text(_plain(value), key, name))
+def _with_check_digit(body: Column) -> Column:
+    every = F.array(*[F.lit(str(d)) for d in range(10)])
+    return F.filter(F.transform(every, lambda d: F.concat(body, d)), _luhn)[0]
 
 
-def _after(value: Column, pattern: str, key: str, name: str) -> Column:
-    """What `pattern` takes at the beginning stays; the rest is permuted."""
-    head = F.regexp_extract(value, pattern, 0)
-    return F.concat(head, _text_like(F.substr(value, F.length(head) + 1), key, name))
+def parts_of(value: Column) -> Column:
+    """A found value as struct(name, head, body, tail): head and tail stay, the body is permuted.
 
+    The name is null for a value that fails validation.
+    """
 
-def _email(value: Column, key: str) -> Column:
-    local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
-    return F.concat(_text_like(local, key, "email"), F.lit("@"), domain)
+    def parts(name: str, body: Column, head: Column | None = None, tail: Column | None = None) -> Column:
+        return F.struct(
+            F.lit(name).alias("name"),
+            F.lit("").alias("head") if head is None else head.alias("head"),
+            body.alias("body"),
+            F.lit("").alias("tail") if tail is None else tail.alias("tail"),
+        )
 
+    def after(name: str, pattern: str) -> Column:
+        head = F.regexp_extract(value, pattern, 0)
+        return parts(name, F.substr(value, F.length(head) + 1), head)
 
-def _card(value: Column, key: str) -> Column:
+    local = F.substring_index(value, "@", 1)
     digits = F.regexp_replace(value, "[^0-9]", "")
-    body = permuted_text(F.substr(digits, F.lit(1), F.length(digits) - 1), key, "card")
-    last = F.array(*[F.lit(str(d)) for d in range(10)])
-    whole = F.filter(F.transform(last, lambda d: F.concat(body, d)), lambda n: F.call_function("luhn_check", n))
-    return F.when(F.call_function("luhn_check", digits), _refilled(value, whole[0])).otherwise(value)
+    octets = F.split(value, "[.]")
+    return (
+        F.when(value.rlike(f"^(?:{SECRET})$"), after("secret", r"^[A-Za-z_]+[\"']?\s*[=:]\s*[\"']?"))
+        .when(value.rlike(f"^(?:{ACCESS_KEY})$"), after("access", "^A[KS]IA"))
+        .when(value.contains("@"), parts("email", local, None, F.substr(value, F.length(local) + 1)))
+        .when(
+            value.rlike(f"^(?:{IPV4})$"),
+            F.when(F.forall(octets, lambda o: o.cast("int") < 256), parts("ipv4", value)),
+        )
+        .when(value.rlike(f"^(?:{ISO_DATE}|{DAY_DATE})$"), F.when(_is_day(value), parts("date", value)))
+        .when(value.rlike(f"^(?:{SSN})$"), parts("ssn", value))
+        .when(value.rlike(f"^(?:{PHONE})$"), after("phone", r"^(?:\+[0-9]{1,3}(?:[ .\-]|(?=\()))?"))
+        .when(_luhn(digits), parts("card", value))
+    )
 
 
-def _ipv4(value: Column, key: str) -> Column:
-    o = [F.split(value, r"\.")[i].cast("int") for i in range(4)]
-    valid = (o[0] < 256) & (o[1] < 256) & (o[2] < 256) & (o[3] < 256)
+def _fields(value: Column) -> tuple[Column, Column, Column]:
+    """Year, month and day of either layout of a date."""
+    iso = F.substr(value, F.lit(5), F.lit(1)) == "-"
 
-    def shaped(a: Column, b: Column) -> Column:
-        parts = [F.floor(a / 256), a % 256, F.floor(b / 256), b % 256]
-        return F.concat_ws(".", *[p.cast("string") for p in parts])
+    def number(at: int, other: int, size: int) -> Column:
+        return F.substr(value, F.when(iso, at).otherwise(other), F.lit(size)).cast("int")
 
-    moved = permuted_pair(o[0] * 256 + o[1], o[2] * 256 + o[3], 65_536, 65_536, key, "ipv4", shaped)
-    return F.when(valid, moved).otherwise(value)
+    return number(1, 7, 4), number(6, 4, 2), number(9, 1, 2)
 
 
-def _date(value: Column, year: Column, month: Column, day: Column, layout: Column, key: str) -> Column:
-    """A day of 1800 to 2199 becomes another one; what is no such day stays."""
+def _is_day(value: Column) -> Column:
+    """A day of the years 1800 to 2199."""
+    year, month, day = _fields(value)
     leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
-    length = (
-        F.when(month.isin(4, 6, 9, 11), 30).when(month == 2, F.when(leap, 29).otherwise(28)).otherwise(31)
+    length = F.when(month.isin(4, 6, 9, 11), 30).when(month == 2, F.when(leap, 29).otherwise(28)).otherwise(31)
+    return year.between(1800, 2199) & month.between(1, 12) & (day >= 1) & (day <= length)
+
+
+def _moved_number(part: Column, key: str) -> Column:
+    """The pseudonym of an address or a date, both pairs of small numbers."""
+    body = part["body"]
+    ip = part["name"] == "ipv4"
+    octets = F.split(body, "[.]")
+    days = F.date_diff(F.make_date(*_fields(body)), F.lit(FIRST_DAY).cast("date"))
+    number = permuted_pair(
+        F.when(ip, octets[0].cast("int") * 256 + octets[1].cast("int")).otherwise(F.floor(days / DAYS_LOW)),
+        F.when(ip, octets[2].cast("int") * 256 + octets[3].cast("int")).otherwise(days % DAYS_LOW),
+        F.when(ip, 65_536).otherwise(DAYS_HIGH),
+        F.when(ip, 65_536).otherwise(DAYS_LOW),
+        key,
+        part["name"],
     )
-    valid = year.between(1800, 2199) & month.between(1, 12) & (day >= 1) & (day <= length)
-    place = F.date_diff(F.make_date(year, month, day), F.lit(FIRST_DAY).cast("date"))
-
-    def shaped(a: Column, b: Column) -> Column:
-        moved = F.date_add(F.lit(FIRST_DAY).cast("date"), (a * DAYS_LOW + b).cast("int"))
-        y = F.lpad(F.year(moved).cast("string"), 4, "0")
-        m, d = F.lpad(F.month(moved).cast("string"), 2, "0"), F.lpad(F.dayofmonth(moved).cast("string"), 2, "0")
-        return F.when(layout == "-", F.concat_ws("-", y, m, d)).otherwise(F.concat(d, layout, m, layout, y))
 
-    moved = permuted_pair(
-        F.floor(place / DAYS_LOW), place % DAYS_LOW, DAYS_HIGH, DAYS_LOW, key, "date", shaped
+    def shaped(n: Column) -> Column:
+        address = F.concat_ws(".", *[(F.floor(n / 256**i) % 256).cast("string") for i in (3, 2, 1, 0)])
+        moved = F.date_add(F.lit(FIRST_DAY).cast("date"), n.cast("int")).cast("string")
+        mark = F.substr(body, F.lit(3), F.lit(1))
+        y, m, d = (F.substr(moved, F.lit(at), F.lit(size)) for at, size in ((1, 4), (6, 2), (9, 2)))
+        date = F.when(F.substr(body, F.lit(5), F.lit(1)) == "-", moved).otherwise(F.concat(d, mark, m, mark, y))
+        return F.when(ip, address).otherwise(date)
+
+    return F.aggregate(F.array(number), F.lit(""), lambda _, n: shaped(n))
+
+
+def _moved_text(part: Column, key: str) -> Column:
+    plain = _plain(part["body"])
+    card = part["name"] == "card"
+    size = F.when(card, F.length(plain) - 1).otherwise(F.length(plain))
+    moved = permuted_text(F.substr(plain, F.lit(1), size), key, part["name"])
+    return F.aggregate(
+        F.array(moved),
+        F.lit(""),
+        lambda _, x: F.concat(
+            part["head"], _refilled(part["body"], F.when(card, _with_check_digit(x)).otherwise(x)), part["tail"]
+        ),
     )
-    return F.when(valid, moved).otherwise(value)
 
 
-def pseudonym(value: Column, key: str) -> Column:
+def pseudonym(value: Column, part: Column, key: str) -> Column:
     """The pseudonym of one found value; a value that fails validation is returned unchanged."""
-
-    def part(at: int, size: int) -> Column:
-        return F.substr(value, F.lit(at), F.lit(size)).cast("int")
-
     return (
-        F.when(value.rlike(f"^(?:{SECRET})$"), _after(value, r"^[A-Za-z_]+[\"']?\s*[=:]\s*[\"']?", key, "secret"))
-        .when(value.rlike(f"^(?:{ACCESS_KEY})$"), _after(value, "^A[KS]IA", key, "access"))
-        .when(value.contains("@"), _email(value, key))
-        .when(value.rlike(f"^(?:{IPV4})$"), _ipv4(value, key))
-        .when(value.rlike(f"^(?:{ISO_DATE})$"), _date(value, part(1, 4), part(6, 2), part(9, 2), F.lit("-"), key))
-        .when(
-            value.rlike(f"^(?:{DAY_DATE})$"),
-            _date(value, part(7, 4), part(4, 2), part(1, 2), F.substr(value, F.lit(3), F.lit(1)), key),
-        )
-        .when(value.rlike(f"^(?:{SSN})$"), _text_like(value, key, "ssn"))
-        .when(value.rlike(f"^(?:{PHONE})$"), _after(value, r"^(?:\+[0-9]{1,3}(?:[ .\-]|(?=\()))?", key, "phone"))
-        .otherwise(_card(value, key))
+        F.when(part["name"].isNull(), value)
+        .when(part["name"].isin("ipv4", "date"), _moved_number(part, key))
+        .otherwise(_moved_text(part, key))
     )
 
 
@@ -206,9 +235,10 @@ def pseudonymize(documents: DataFrame, key: str, text: str = "text") -> DataFram
     columns, repeated rows get equal results, and no column but `text` and n_personal changes.
     One map over the rows: no shuffle.
     """
-    found = documents.withColumns({"__found": F.regexp_extract_all(text, F.lit(PERSONAL), F.lit(0))})
-    new = F.when(F.size("__found") > 0, F.transform("__found", lambda v: pseudonym(v, key)))
-    filled = found.withColumn("__new", new)
+    found = documents.withColumn("__found", F.regexp_extract_all(text, F.lit(PERSONAL), F.lit(0)))
+    named = F.transform("__found", lambda v: F.struct(v.alias("value"), parts_of(v).alias("part")))
+    moved = F.transform(named, lambda x: pseudonym(x["value"], x["part"], key))
+    filled = found.withColumn("__new", F.when(F.size("__found") > 0, moved))
     between = F.split(text, PERSONAL, -1)
     joined = F.array_join(
         F.zip_with(between, "__new", lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
