@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trisketch.llm import decontamination as dc
 from trisketch.llm import pii
+from trisketch.llm import substring_dedup as sd
 from trisketch.llm import token_counts as tc
 from trisketch.llm import toxicity as tx
 from trisketch.llm.shipping import ship
@@ -73,3 +74,25 @@ items AS (SELECT id, shingle, count(*) OVER (PARTITION BY id) AS n FROM shingles
 SELECT d.id AS doc_id, i.id AS item_id, i.n AS n_item, count(*) AS n_shared, count(*) / i.n AS containment
 FROM (SELECT * FROM shingles WHERE kind = 0) d JOIN items i USING (shingle)
 GROUP BY d.id, i.id, i.n HAVING 4 * count(*) >= 3 * i.n"""
+
+
+def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = sd.remove_repeated(documents(spark, sf))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+QUERIES["op5_substring_dedup"] = op5_substring_dedup
+ORACLES["op5_substring_dedup"] = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS place FROM windows) WHERE place > 1),
+removed AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+kept AS (
+  SELECT u.doc_id, count(*) AS n, string_agg(u.x, ' ' ORDER BY u.i) AS t
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM words) u
+  ANTI JOIN removed r ON u.doc_id = r.doc_id AND u.i = r.i GROUP BY u.doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k USING (doc_id)"""
