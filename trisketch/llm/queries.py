@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trisketch.llm import decontamination as dc
+from trisketch.llm import ngram_join as nj
 from trisketch.llm import pii
 from trisketch.llm import substring_dedup as sd
 from trisketch.llm import token_counts as tc
@@ -96,3 +97,10 @@ kept AS (
   ANTI JOIN removed r ON u.doc_id = r.doc_id AND u.i = r.i GROUP BY u.doc_id)
 SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM words w LEFT JOIN kept k USING (doc_id)"""
+
+
+def op4_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return nj.near_duplicates(documents(spark, sf))
+
+
+QUERIES["op4_ngram_join"] = op4_ngram_join
