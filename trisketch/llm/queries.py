@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trisketch.llm import decontamination as dc
+from trisketch.llm import embedding_dedup as ed
+from trisketch.llm import mixing as mx
 from trisketch.llm import ngram_join as nj
 from trisketch.llm import pii
 from trisketch.llm import substring_dedup as sd
@@ -104,3 +106,18 @@ def op4_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["op4_ngram_join"] = op4_ngram_join
+
+
+def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    mix = mx.mixture(documents(spark, sf))
+    return mix.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+QUERIES["op8_mixing"] = op8_mixing
+
+
+def op6_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return ed.near_duplicate_vectors(ship(spark).read.parquet(f"{sf}/embeddings.parquet"))
+
+
+QUERIES["op6_embedding_dedup"] = op6_embedding_dedup
