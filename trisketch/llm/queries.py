@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trisketch.llm import decontamination as dc
 from trisketch.llm import embedding_dedup as ed
+from trisketch.llm import lm
 from trisketch.llm import mixing as mx
 from trisketch.llm import ngram_join as nj
 from trisketch.llm import pii
@@ -121,3 +122,10 @@ def op6_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["op6_embedding_dedup"] = op6_embedding_dedup
+
+
+def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.log_probabilities(documents(spark, sf)).drop("perplexity")
+
+
+QUERIES["op10_lm_scoring"] = op10_lm_scoring
