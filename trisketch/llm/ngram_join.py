@@ -8,9 +8,9 @@ is out before any pair is made. A candidate must share prefix shingles under eac
 then it is verified on the sets.
 
 Steps: equal sets become one class; repeated shingles are found through packed, hash-partitioned
-shingles; surviving classes post their prefixes; each is compared with the leader it shares most
-lists with; what is connected then is not compared again, so a group of copies costs one
-comparison per member; the remaining candidates in lists of several components are verified too.
+shingles; surviving classes post their prefixes and fall into groups that share lists. A large
+group is first compared with its leaders only, one comparison per member; what that connects is
+not compared again. All other candidates of a group are verified within it, block by block.
 """
 
 from __future__ import annotations
@@ -33,6 +33,10 @@ SHINGLE = 5
 ORDERS = 3
 RUN_BYTES = 4 << 20
 BROADCAST_ROWS = 1_000_000
+HOT = 1000
+BLOCK = 256
+"""Sets of a group that are compared within one task, and of each block of a larger group."""
+COLUMNS = 16_384
 
 PACKED = "place int, docs boolean, keys binary, sizes binary, counts binary, tokens binary"
 
@@ -219,17 +223,41 @@ def survivors(keyed: DataFrame, buckets: int) -> DataFrame:
 # ---- candidates --------------------------------------------------------------
 
 
-def _prefix(tokens: np.ndarray, n: int, order: int) -> np.ndarray:
-    """The repeated shingles in the prefix under one order; the unique ones come before them."""
+def _prefix(tokens: np.ndarray, n: int, order: int, hot: np.ndarray) -> np.ndarray:
+    """The repeated shingles in the prefix under one order. Unique ones come before them; among
+    the repeated ones the hot come last, and the rest is by hash.
+    """
     size = prefix_length(n) - (n - len(tokens))
-    rank = w.mixed(tokens, 100 + order)
-    return tokens[np.argpartition(rank, size - 1)[:size]] if size < len(tokens) else tokens
+    if size >= len(tokens):
+        return tokens
+    rank = w.mixed(tokens, 100 + order) >> np.uint64(1)
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
+        rank[hot[at] == tokens] |= np.uint64(1 << 63)
+    return tokens[np.argpartition(rank, size - 1)[:size]]
+
+
+def hot_shingles(classes: DataFrame) -> np.ndarray:
+    """Shingles in at least one of HOT classes (and in 64), sorted: HOT times the mean set size at most."""
+    least = max(64, classes.count() // HOT)
+    counts = classes.mapInArrow(_token_counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    rows = counts.where(F.col("n") >= least).select("token").toArrow()
+    return np.sort(rows.column("token").to_numpy().view(np.uint64))
+
+
+def _token_counts(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences of the shingles that a batch has more than once, and all others once."""
+    for batch in stream:
+        if batch.num_rows:
+            tokens = np.frombuffer(b"".join(t.as_py() for t in batch.column(3)), np.int64)
+            values, n = np.unique(tokens, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n)], ["token", "n"])
 
 
-def _postings(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _postings(stream: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in stream:
         n = batch.column(1).to_pylist()
-        lists = [_prefix(np.frombuffer(t.as_py(), np.uint64), m, 0) for t, m in zip(batch.column(3), n, strict=True)]
+        lists = [_prefix(np.frombuffer(t.as_py(), np.uint64), m, 0, hot) for t, m in zip(batch.column(3), n, strict=True)]
         if lists:
             each = np.array([len(x) for x in lists])
             columns = [pa.array(np.concatenate(lists).view(np.int64))]
@@ -237,21 +265,72 @@ def _postings(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["token", "key", "n", "r"])
 
 
-def _linked(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in stream:
-        links = []
-        for row in zip(*[c for c in batch.columns], strict=True):
-            a, b, na, nb, ta, tb = (x.as_py() for x in row)
-            x, y = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64)
-            if all(
-                len(np.intersect1d(_prefix(x, na, k), _prefix(y, nb, k), assume_unique=True)) for k in range(ORDERS)
-            ):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= 75 * (na + nb - both):
-                    links.append((a, b))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["u", "v"]
-        )
+def _shared(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common tokens of each set of `one` with each of `two`, from 0/1 matrices."""
+    tokens = np.concatenate([*one, *two])
+    values, inverse, n = np.unique(tokens, return_inverse=True, return_counts=True)
+    column = np.cumsum(n > 1) - 1
+    column[n == 1] = -1
+    column = column[inverse]
+    sizes = [len(x) for x in (*one, *two)]
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    row, column = row[column >= 0], column[column >= 0]
+    total = np.zeros((len(one), len(two)), np.float32)
+    width = int((n > 1).sum())
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for low in range(0, width, COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        part = np.zeros((len(sizes), min(COLUMNS, width - low)), np.float32)
+        part[row[a:b], column[a:b] - low] = 1
+        total += part[: len(one)] @ part[len(one) :].T
+    return total.astype(np.int64)
+
+
+def _links_between(one: list[tuple], two: list[tuple], hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the linked pairs of sets (n, tokens): candidates under every order, verified."""
+    na, nb = (np.array([x[0] for x in side], np.int64) for side in (one, two))
+    candidate = 4 * np.minimum(na[:, None], nb) >= 3 * np.maximum(na[:, None], nb)
+    for order in range(ORDERS):
+        if candidate.any():
+            prefixes = [[_prefix(t, n, order, hot) for n, t in side] for side in (one, two)]
+            candidate &= _shared(*prefixes) > 0
+    if not candidate.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    both = _shared([t for _, t in one], [t for _, t in two])
+    return np.nonzero(candidate & (100 * both >= 75 * (na[:, None] + nb - both)))
+
+
+def _compared(task: pa.Table, hot: np.ndarray) -> pa.Table:
+    """Links among the groups of one task: of all sets of a group, or of two blocks of it.
+
+    Only links that connect something new here are returned, so at most one per set.
+    """
+    group = task.column("group").to_numpy()
+    keys, n, tokens = task.column("key").to_numpy(), task.column("n").to_numpy(), task.column("tokens")
+    sides = task.column("side").to_numpy()
+    order = np.argsort(group, kind="stable")
+    links = []
+    for a, b in _cut(group[order]):
+        rows = order[a:b]
+        left, right = rows[sides[rows] == 0], rows[sides[rows] == 1]
+        right = right if len(right) else left
+        sets = [[(int(n[i]), np.frombuffer(tokens[int(i)].as_py(), np.uint64)) for i in side] for side in (left, right)]
+        parent: dict[int, int] = {}
+
+        def find(x: int, parent=parent) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for i, j in zip(*(x.tolist() for x in _links_between(*sets, hot)), strict=True):
+            u, v = int(keys[left[i]]), int(keys[right[j]])
+            x, y = find(u), find(v)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                links.append((u, v))
+    return pa.table({"u": pa.array([x for x, _ in links], pa.int64()), "v": pa.array([y for _, y in links], pa.int64())})
 
 
 def _can_link(na: Column, ra: Column, nb: Column, rb: Column) -> Column:
@@ -259,40 +338,82 @@ def _can_link(na: Column, ra: Column, nb: Column, rb: Column) -> Column:
     return 7 * F.least(ra, rb) >= 3 * (na + nb)
 
 
-def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The links (u, v) among candidate pairs (a, b)."""
-    left = classes.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    right = classes.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ta", "tb")
-    return rows.mapInArrow(_linked, "u long, v long")
+def class_links(classes: DataFrame, buckets: int) -> DataFrame:
+    """Enough links (u, v) between classes to connect all that are linked.
 
-
-def class_links(classes: DataFrame) -> DataFrame:
-    """Enough links (u, v) between classes to connect all that are linked."""
-    posted = materialize(classes.mapInArrow(_postings, "token long, key long, n long, r long"), "postings")
+    Classes that share prefix lists, directly or by others, form a group; no link leaves it. A
+    small group is compared inside one task. In a large one, each class is first compared with
+    the leader that it shares most lists with; then blocks are compared with blocks, but for
+    those that are connected already.
+    """
+    spark = classes.sparkSession
+    hot = spark.sparkContext.broadcast(hot_shingles(classes))
+    posted = classes.mapInArrow(lambda s: _postings(s, hot.value), "token long, key long, n long, r long")
+    posted = materialize(posted, "postings")
     leaders = posted.groupBy("token").agg(F.min(F.struct("n", "key", "r")).alias("lead"), F.count("*").alias("m"))
-    starred = posted.join(leaders.where("m > 1"), "token").where(
-        (F.col("key") != F.col("lead.key")) & _can_link(F.col("n"), F.col("r"), F.col("lead.n"), F.col("lead.r"))
+    starred = posted.join(leaders.where("m > 1"), "token").where(F.col("key") != F.col("lead.key"))
+    stars = starred.groupBy("key", "n", "r", "lead").agg(F.count("*").alias("m"))
+    stars = materialize(stars, "stars")
+    grouped = components(stars.select(F.col("key").alias("u"), F.col("lead.key").alias("v")))
+    grouped = grouped.select(F.col("node").alias("key"), F.col("component").alias("group"))
+    sizes = grouped.groupBy("group").agg(F.count("*").alias("size"))
+    grouped = materialize(grouped.join(sizes, "group"), "groups")
+    sets = classes.select("key", "n", "tokens")
+
+    small = grouped.where(F.col("size") <= BLOCK).join(sets, "key").select(
+        "group", "key", "n", "tokens", F.lit(0).alias("side"), F.pmod(F.xxhash64("group"), F.lit(buckets)).alias("task")
     )
-    counted = starred.groupBy("key", F.col("lead.key").alias("b")).agg(F.count("*").alias("m"))
-    best = counted.groupBy("key").agg(F.max_by("b", F.struct("m", "b")).alias("b"))
-    first = materialize(verified(best.select(F.col("key").alias("a"), "b"), classes), "links")
-
+    compare = lambda t: _compared(t, hot.value)
+    links = small.groupBy("task").applyInArrow(compare, "u long, v long")
+
+    large = grouped.where(F.col("size") > BLOCK).select("key", "group")
+    lead = F.struct("m", F.col("lead.key").alias("k"))
+    best = (
+        stars.where(_can_link(F.col("n"), F.col("r"), F.col("lead.n"), F.col("lead.r")))
+        .join(large, "key", "left_semi")
+        .groupBy("key")
+        .agg(F.max(lead).alias("best"))
+    )
+    first = materialize(_led(best.select("key", F.col("best.k").alias("lead")), sets, hot), "links")
     joined = components(first).withColumnRenamed("node", "key")
-    placed = posted.join(joined, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    placed = materialize(placed, "placed")
-    open_lists = (
-        placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    placed = large.join(joined, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    counts = placed.groupBy("group", "component").agg(F.count("*").alias("s"))
+    pool = counts.where(F.col("s") < BLOCK).groupBy("group").agg(F.ceil(F.sum("s") / BLOCK).alias("pools"))
+    where = counts.join(pool, "group", "left").select(
+        "group",
+        "component",
+        F.when(F.col("s") >= BLOCK, F.col("component")).alias("owner"),
+        F.when(F.col("s") >= BLOCK, F.ceil(F.col("s") / BLOCK)).otherwise(F.col("pools")).alias("parts"),
     )
-    left = placed.join(open_lists.select("token"), "token")
-    right = left.select("token", *[F.col(c).alias(f"{c}_b") for c in ("key", "n", "r", "component")])
-    crossing = (
-        left.join(right, "token")
-        .where((F.col("component") < F.col("component_b")) & _can_link(F.col("n"), F.col("r"), F.col("n_b"), F.col("r_b")))
-        .select(F.col("key").alias("a"), F.col("key_b").alias("b"))
-        .distinct()
+    spread = F.when(F.col("owner").isNull(), F.col("component")).otherwise(F.col("key"))
+    placed = placed.join(where, ["group", "component"]).select(
+        "group", "key", "owner", F.pmod(F.xxhash64(spread), "parts").alias("part")
     )
-    return first.unionByName(verified(crossing, classes))
+    placed = materialize(placed, "blocks")
+    blocks = placed.select("group", "owner", "part").distinct()
+    other = blocks.select("group", F.col("owner").alias("owner_b"), F.col("part").alias("part_b"))
+    one, two = F.struct(F.coalesce("owner", F.lit(-1)), "part"), F.struct(F.coalesce("owner_b", F.lit(-1)), "part_b")
+    block_pairs = blocks.join(other, "group").where((one <= two) & (F.col("owner").isNull() | ~F.col("owner").eqNullSafe(F.col("owner_b"))))
+    block_pairs = materialize(block_pairs.withColumn("task", F.monotonically_increasing_id()), "block-pairs")
+    left = block_pairs.select("task", "group", "owner", "part", F.lit(0).alias("side"))
+    right = block_pairs.where(one != two).select(
+        "task", "group", F.col("owner_b").alias("owner"), F.col("part_b").alias("part"), F.lit(1).alias("side")
+    )
+    wanted = left.unionByName(right)
+    same = (placed["group"] == wanted["group"]) & (placed["part"] == wanted["part"]) & placed["owner"].eqNullSafe(wanted["owner"])
+    rows = placed.join(wanted, same).select("task", wanted["group"], "key", "side").join(sets, "key")
+    crossed = rows.groupBy("task").applyInArrow(compare, "u long, v long")
+    return links.unionByName(first).unionByName(crossed)
+
+
+def _led(stars: DataFrame, sets: DataFrame, hot) -> DataFrame:
+    """The links among the pairs (key, lead); a lead's followers spread over several tasks."""
+    leads = stars.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    followed = stars.join(leads, "lead").withColumn("part", F.pmod(F.xxhash64("key"), "parts"))
+    rows = followed.select("lead", "part", "key", F.lit(1).alias("side"))
+    heads = followed.select("lead", "part", F.col("lead").alias("key"), F.lit(0).alias("side")).distinct()
+    full = rows.unionByName(heads).join(sets, "key").withColumn("group", F.col("lead"))
+    return full.groupBy("lead", "part").applyInArrow(lambda t: _compared(t, hot.value), "u long, v long")
 
 
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -317,8 +438,9 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     if copies.count() <= BROADCAST_ROWS:
         copies = F.broadcast(copies)
     distinct = keyed.join(copies, "key", "left_anti")
-    kept = materialize(survivors(distinct, bucket_count(documents, text)), "survivors")
-    connected = components(class_links(kept))
+    buckets = bucket_count(documents, text)
+    kept = materialize(survivors(distinct, buckets), "survivors")
+    connected = components(class_links(kept, buckets))
 
     reached = members.join(connected.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "n", F.coalesce("component", "rep").alias("component")
