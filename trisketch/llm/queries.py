@@ -14,6 +14,7 @@ from trisketch.llm import lm
 from trisketch.llm import mixing as mx
 from trisketch.llm import ngram_join as nj
 from trisketch.llm import pii
+from trisketch.llm import quality as ql
 from trisketch.llm import substring_dedup as sd
 from trisketch.llm import token_counts as tc
 from trisketch.llm import toxicity as tx
@@ -129,3 +130,19 @@ def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["op10_lm_scoring"] = op10_lm_scoring
+
+
+def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where(~ql.held_out(F.col("doc_id")))
+    return ql.quality(documents(spark, sf), labels).select(
+        "doc_id",
+        ql.held_out(F.col("doc_id")).alias("held_out"),
+        "evidence",
+        "host_rate",
+        "path_rate",
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+QUERIES["op9_quality"] = op9_quality
