@@ -155,7 +155,10 @@ def mixture(
     repeated, each row counts as a document. The result depends on the rows and the seed only, not
     on partitions. Other columns are ignored; an empty table gives an empty result.
     """
-    keyed = with_keys(documents, "__key", doc_id, text)
+    return _mixture(with_keys(documents, "__key", doc_id, text), seed, doc_id, text, source)
+
+
+def _mixture(keyed: DataFrame, seed: int, doc_id: str, text: str, source: str) -> DataFrame:
     sized = materialize(
         keyed.select(
             F.col("__key").alias("key"),
@@ -180,7 +183,8 @@ def mixture(
 def mixed(documents: DataFrame, seed: int = 0) -> DataFrame:
     """The documents as the mix takes them: each row as often as it has copies."""
     keyed = with_keys(documents)
-    copies = materialize(mixture(documents, seed).where("copies > 0").select(F.col("key").alias("__key"), "copies"), "copies")
+    mix = _mixture(keyed, seed, "doc_id", "text", "source").where("copies > 0")
+    copies = materialize(mix.select(F.col("key").alias("__key"), "copies"), "copies")
     if copies.count() <= BROADCAST_ROWS:
         copies = F.broadcast(copies)
     repeated = keyed.join(copies, "__key").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))

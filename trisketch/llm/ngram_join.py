@@ -416,6 +416,23 @@ def _led(stars: DataFrame, sets: DataFrame, hot) -> DataFrame:
     return full.groupBy("lead", "part").applyInArrow(lambda t: _compared(t, hot.value), "u long, v long")
 
 
+def _classes(keyed: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(key, n, rep) of the rows with shingles, (key, n) of those without, (rep, component).
+
+    `rep` is the least key with an equal set; a rep without links has no component.
+    """
+    signed = materialize(signatures(keyed), "signatures")
+    same = ["n", "s1", "s2"]
+    classes = signed.where("n > 0").groupBy(*same).agg(F.min("key").alias("rep"))
+    members = materialize(signed.where("n > 0").join(classes, same).select("key", "n", "rep"), "members")
+    copies = members.where("key != rep").select("key")
+    if copies.count() <= BROADCAST_ROWS:
+        copies = F.broadcast(copies)
+    kept = materialize(survivors(keyed.join(copies, "key", "left_anti"), buckets), "survivors")
+    connected = components(class_links(kept, buckets)).withColumnRenamed("node", "rep")
+    return members, signed.where("n = 0").select("key", "n"), connected
+
+
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document.
 
@@ -428,28 +445,28 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     whole = with_keys(documents, "__key", doc_id, text)
     keyed = whole.select(F.col("__key").alias("key"), F.col(text).alias("text"))
     ids = whole.select(F.col("__key").alias("key"), F.col(doc_id).alias("doc_id"))
-    signed = materialize(signatures(keyed), "signatures")
-    same = ["n", "s1", "s2"]
-    classes = signed.where("n > 0").groupBy(*same).agg(F.min("key").alias("rep"))
-    members = materialize(
-        signed.where("n > 0").join(classes, same).select("key", "n", "rep"), "members"
-    )
-    copies = members.where("key != rep").select("key")
-    if copies.count() <= BROADCAST_ROWS:
-        copies = F.broadcast(copies)
-    distinct = keyed.join(copies, "key", "left_anti")
-    buckets = bucket_count(documents, text)
-    kept = materialize(survivors(distinct, buckets), "survivors")
-    connected = components(class_links(kept, buckets))
-
-    reached = members.join(connected.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "n", F.coalesce("component", "rep").alias("component")
-    )
-    blank = signed.where("n = 0").select("key", "n", F.col("key").alias("component"))
+    members, blank, connected = _classes(keyed, bucket_count(documents, text))
+    reached = members.join(connected, "rep", "left").select("key", "n", F.coalesce("component", "rep").alias("component"))
     roots = ids.select(F.col("key").alias("component"), F.col("doc_id").alias("component_id"))
     return (
-        reached.unionByName(blank)
+        reached.unionByName(blank.withColumn("component", F.col("key")))
         .join(ids, "key")
         .join(roots, "component")
         .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     )
+
+
+def first_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without those that a smaller one of their component stands for.
+
+    Rows without shingles all stay. Columns, values and repeated clean rows are as they were.
+    """
+    whole = with_keys(documents, "__key", doc_id, text)
+    keyed = whole.select(F.col("__key").alias("key"), F.col(text).alias("text"))
+    members, _, connected = _classes(keyed, bucket_count(documents, text))
+    placed = members.join(connected, "rep", "left")
+    gone = placed.where(F.col("key") != F.coalesce("component", "rep")).select(F.col("key").alias("__key"))
+    gone = materialize(gone, "gone")
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    return whole.join(gone, "__key", "left_anti").select(*documents.columns)
