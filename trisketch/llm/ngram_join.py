@@ -2,8 +2,8 @@
 
 Two documents link if their sets A, B of distinct shingles have 100 |A & B| >= 75 |A | B|. In any
 one order of all shingles, such sets share a shingle among the first n - ceil(0.75 n) + 1 of each.
-Every order used here puts shingles that only one document has first, then the repeated ones by a
-hash of their own; so a document whose prefix holds unique shingles only can link with none, and
+Every order used here puts shingles that only one document has first, then the repeated ones, rare
+ones before common ones, with a hash of its own among equals; so a document whose prefix holds unique shingles only can link with none, and
 is out before any pair is made. A candidate must share prefix shingles under each of the orders,
 then it is verified on the sets.
 
@@ -220,21 +220,7 @@ def survivors(keyed: DataFrame, buckets: int) -> DataFrame:
     return matched.groupBy("place").applyInArrow(_survivors, "key long, n long, r long, tokens binary")
 
 
-# ---- candidates --------------------------------------------------------------
-
-
-def _prefix(tokens: np.ndarray, n: int, order: int, hot: np.ndarray) -> np.ndarray:
-    """The repeated shingles in the prefix under one order. Unique ones come before them; among
-    the repeated ones the hot come last, and the rest is by hash.
-    """
-    size = prefix_length(n) - (n - len(tokens))
-    if size >= len(tokens):
-        return tokens
-    rank = w.mixed(tokens, 100 + order) >> np.uint64(1)
-    if len(hot):
-        at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
-        rank[hot[at] == tokens] |= np.uint64(1 << 63)
-    return tokens[np.argpartition(rank, size - 1)[:size]]
+# ---- ranks -------------------------------------------------------------------
 
 
 def hot_shingles(classes: DataFrame) -> np.ndarray:
@@ -246,7 +232,7 @@ def hot_shingles(classes: DataFrame) -> np.ndarray:
 
 
 def _token_counts(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences of the shingles that a batch has more than once, and all others once."""
+    """Occurrences of each shingle, summed over a batch."""
     for batch in stream:
         if batch.num_rows:
             tokens = np.frombuffer(b"".join(t.as_py() for t in batch.column(3)), np.int64)
@@ -254,10 +240,119 @@ def _token_counts(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n)], ["token", "n"])
 
 
-def _postings(stream: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _among(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(tokens), bool)
+    return known[np.minimum(np.searchsorted(known, tokens), len(known) - 1)] == tokens
+
+
+def _asked(stream: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sends each shingle of a surviving class, but for the hot ones, to the shingle's bucket."""
+    for batch in stream:
+        if not batch.num_rows:
+            continue
+        keys, sizes, counts = (batch.column(i).to_numpy() for i in range(3))
+        tokens = np.frombuffer(b"".join(t.as_py() for t in batch.column(3)), np.uint64)
+        owner = np.repeat(np.arange(len(keys)), counts)
+        known = _among(tokens, hot)
+        own = np.bincount(owner[known], minlength=len(keys))
+        rows = [_row(int(_place(keys[:1], buckets)[0]), True, keys, sizes, own, tokens[known])]
+        owner, tokens = owner[~known], tokens[~known]
+        place = _place(tokens, buckets)
+        order = np.argsort(place, kind="stable")
+        owner, tokens, place = owner[order], tokens[order], place[order]
+        for a, b in _cut(place):
+            starts = np.array([i for i, _ in _cut(owner[a:b])])
+            n = np.diff(np.append(starts, b - a))
+            rows.append(_row(place[a], False, keys[owner[a:b][starts]], n, n, tokens[a:b]))
+        yield pa.RecordBatch.from_arrays(_columns(rows), PACKED_NAMES)
+
+
+RANKED = PACKED + ", ranks binary"
+
+
+def _ranked(bucket: pa.Table, buckets: int) -> pa.Table:
+    """Sends each shingle back with its rank: eight times the logarithm of the classes that have it."""
+    docs, owners, tokens = [], [], []
+    for row in bucket.to_pylist():
+        keys, sizes, counts, t = _unpacked(row)
+        if row["docs"]:
+            docs.append((keys, sizes, counts, t, np.full(len(t), 255, np.uint8)))
+        else:
+            owners.append(np.repeat(keys, counts))
+            tokens.append(t)
+    if tokens:
+        owner, token = np.concatenate(owners), np.concatenate(tokens)
+        _, inverse, n = np.unique(token, return_inverse=True, return_counts=True)
+        rank = np.minimum(np.floor(8 * np.log2(n)), 254).astype(np.uint8)[inverse]
+        docs.append((owner, np.zeros(len(owner), np.int32), np.ones(len(owner), np.int32), token, rank))
+    rows, ranks = [], []
+    for keys, sizes, counts, token, rank in docs:
+        place = _place(keys, buckets)
+        order = np.lexsort((keys, place))
+        starts = np.cumsum(counts) - counts
+        for a, b in _cut(place[order]):
+            some = order[a:b]
+            inside = w.places(counts[some], starts[some])
+            rows.append(_row(place[some[0]], True, keys[some], sizes[some], counts[some], token[inside]))
+            ranks.append(rank[inside].tobytes())
+    return pa.table([*_columns(rows), pa.array(ranks, pa.binary())], [*PACKED_NAMES, "ranks"])
+
+
+def _assembled(place: pa.Table) -> pa.Table:
+    """The classes of one place with their shingles, sorted, and the ranks of these."""
+    owners, tokens, ranks, size_of = [], [], [], {}
+    for row in place.to_pylist():
+        keys, sizes, counts, t = _unpacked(row)
+        size_of.update(zip(keys[sizes > 0].tolist(), sizes[sizes > 0].tolist(), strict=True))
+        owners.append(np.repeat(keys, counts))
+        tokens.append(t)
+        ranks.append(np.frombuffer(row["ranks"], np.uint8))
+    owner, token, rank = (np.concatenate(x) for x in (owners, tokens, ranks))
+    order = np.lexsort((token, owner))
+    owner, token, rank = owner[order], token[order], rank[order]
+    out = [
+        (int(owner[a]), size_of[int(owner[a])], b - a, token[a:b].tobytes(), rank[a:b].tobytes()) for a, b in _cut(owner)
+    ]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["key", "n", "r", "tokens", "ranks"])
+
+
+def ranked_classes(classes: DataFrame, buckets: int) -> DataFrame:
+    """(key, n, r, tokens, ranks): the surviving classes with a rank for each repeated shingle.
+
+    Hot shingles, a bounded set, have the last rank and are not sent to be counted.
+    """
+    hot = classes.sparkSession.sparkContext.broadcast(hot_shingles(classes))
+    asked = classes.mapInArrow(lambda s: _asked(s, buckets, hot.value), PACKED)
+    ranked = asked.groupBy("place").applyInArrow(lambda t: _ranked(t, buckets), RANKED)
+    schema = "key long, n long, r long, tokens binary, ranks binary"
+    return ranked.groupBy("place").applyInArrow(_assembled, schema)
+
+
+# ---- candidates --------------------------------------------------------------
+
+
+def _prefix(tokens: np.ndarray, ranks: np.ndarray, n: int, order: int) -> np.ndarray:
+    """The repeated shingles in the prefix under one order. Unique ones come before them; among
+    the repeated ones those of fewer classes come first, and equal ranks are ordered by hash.
+    """
+    size = prefix_length(n) - (n - len(tokens))
+    if size >= len(tokens):
+        return tokens
+    rank = (ranks.astype(np.uint64) << np.uint64(56)) | (w.mixed(tokens, 100 + order) >> np.uint64(8))
+    return tokens[np.argpartition(rank, size - 1)[:size]]
+
+
+def _set_of(n: int, tokens: pa.Scalar, ranks: pa.Scalar) -> tuple[int, np.ndarray, np.ndarray]:
+    return int(n), np.frombuffer(tokens.as_py(), np.uint64), np.frombuffer(ranks.as_py(), np.uint8)
+
+
+def _postings(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in stream:
         n = batch.column(1).to_pylist()
-        lists = [_prefix(np.frombuffer(t.as_py(), np.uint64), m, 0, hot) for t, m in zip(batch.column(3), n, strict=True)]
+        sets = [_set_of(*x) for x in zip(n, batch.column(3), batch.column(4), strict=True)]
+        lists = [_prefix(tokens, ranks, m, 0) for m, tokens, ranks in sets]
         if lists:
             each = np.array([len(x) for x in lists])
             columns = [pa.array(np.concatenate(lists).view(np.int64))]
@@ -287,27 +382,28 @@ def _shared(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def _links_between(one: list[tuple], two: list[tuple], hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the linked pairs of sets (n, tokens): candidates under every order, verified."""
+def _links_between(one: list[tuple], two: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the linked pairs of sets (n, tokens, ranks): candidates under every order, verified."""
     na, nb = (np.array([x[0] for x in side], np.int64) for side in (one, two))
     candidate = 4 * np.minimum(na[:, None], nb) >= 3 * np.maximum(na[:, None], nb)
     for order in range(ORDERS):
         if candidate.any():
-            prefixes = [[_prefix(t, n, order, hot) for n, t in side] for side in (one, two)]
+            prefixes = [[_prefix(t, ranks, n, order) for n, t, ranks in side] for side in (one, two)]
             candidate &= _shared(*prefixes) > 0
     if not candidate.any():
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    both = _shared([t for _, t in one], [t for _, t in two])
+    both = _shared([x[1] for x in one], [x[1] for x in two])
     return np.nonzero(candidate & (100 * both >= 75 * (na[:, None] + nb - both)))
 
 
-def _compared(task: pa.Table, hot: np.ndarray) -> pa.Table:
+def _compared(task: pa.Table) -> pa.Table:
     """Links among the groups of one task: of all sets of a group, or of two blocks of it.
 
     Only links that connect something new here are returned, so at most one per set.
     """
     group = task.column("group").to_numpy()
     keys, n, tokens = task.column("key").to_numpy(), task.column("n").to_numpy(), task.column("tokens")
+    ranks = task.column("ranks")
     sides = task.column("side").to_numpy()
     order = np.argsort(group, kind="stable")
     links = []
@@ -315,7 +411,7 @@ def _compared(task: pa.Table, hot: np.ndarray) -> pa.Table:
         rows = order[a:b]
         left, right = rows[sides[rows] == 0], rows[sides[rows] == 1]
         right = right if len(right) else left
-        sets = [[(int(n[i]), np.frombuffer(tokens[int(i)].as_py(), np.uint64)) for i in side] for side in (left, right)]
+        sets = [[_set_of(n[i], tokens[int(i)], ranks[int(i)]) for i in side] for side in (left, right)]
         parent: dict[int, int] = {}
 
         def find(x: int, parent=parent) -> int:
@@ -324,7 +420,7 @@ def _compared(task: pa.Table, hot: np.ndarray) -> pa.Table:
                 x = parent[x]
             return x
 
-        for i, j in zip(*(x.tolist() for x in _links_between(*sets, hot)), strict=True):
+        for i, j in zip(*(x.tolist() for x in _links_between(*sets)), strict=True):
             u, v = int(keys[left[i]]), int(keys[right[j]])
             x, y = find(u), find(v)
             if x != y:
@@ -346,10 +442,8 @@ def class_links(classes: DataFrame, buckets: int) -> DataFrame:
     the leader that it shares most lists with; then blocks are compared with blocks, but for
     those that are connected already.
     """
-    spark = classes.sparkSession
-    hot = spark.sparkContext.broadcast(hot_shingles(classes))
-    posted = classes.mapInArrow(lambda s: _postings(s, hot.value), "token long, key long, n long, r long")
-    posted = materialize(posted, "postings")
+    classes = materialize(ranked_classes(classes, buckets), "ranked")
+    posted = materialize(classes.mapInArrow(_postings, "token long, key long, n long, r long"), "postings")
     leaders = posted.groupBy("token").agg(F.min(F.struct("n", "key", "r")).alias("lead"), F.count("*").alias("m"))
     starred = posted.join(leaders.where("m > 1"), "token").where(F.col("key") != F.col("lead.key"))
     stars = starred.groupBy("key", "n", "r", "lead").agg(F.count("*").alias("m"))
@@ -358,13 +452,12 @@ def class_links(classes: DataFrame, buckets: int) -> DataFrame:
     grouped = grouped.select(F.col("node").alias("key"), F.col("component").alias("group"))
     sizes = grouped.groupBy("group").agg(F.count("*").alias("size"))
     grouped = materialize(grouped.join(sizes, "group"), "groups")
-    sets = classes.select("key", "n", "tokens")
+    sets = classes.select("key", "n", "tokens", "ranks")
 
     small = grouped.where(F.col("size") <= BLOCK).join(sets, "key").select(
-        "group", "key", "n", "tokens", F.lit(0).alias("side"), F.pmod(F.xxhash64("group"), F.lit(buckets)).alias("task")
+        "group", "key", "n", "tokens", "ranks", F.lit(0).alias("side"), F.pmod(F.xxhash64("group"), F.lit(buckets)).alias("task")
     )
-    compare = lambda t: _compared(t, hot.value)
-    links = small.groupBy("task").applyInArrow(compare, "u long, v long")
+    links = small.groupBy("task").applyInArrow(_compared, "u long, v long")
 
     large = grouped.where(F.col("size") > BLOCK).select("key", "group")
     lead = F.struct("m", F.col("lead.key").alias("k"))
@@ -374,7 +467,7 @@ def class_links(classes: DataFrame, buckets: int) -> DataFrame:
         .groupBy("key")
         .agg(F.max(lead).alias("best"))
     )
-    first = materialize(_led(best.select("key", F.col("best.k").alias("lead")), sets, hot), "links")
+    first = materialize(_led(best.select("key", F.col("best.k").alias("lead")), sets), "links")
     joined = components(first).withColumnRenamed("node", "key")
     placed = large.join(joined, "key", "left").withColumn("component", F.coalesce("component", "key"))
     counts = placed.groupBy("group", "component").agg(F.count("*").alias("s"))
@@ -402,18 +495,18 @@ def class_links(classes: DataFrame, buckets: int) -> DataFrame:
     wanted = left.unionByName(right)
     same = (placed["group"] == wanted["group"]) & (placed["part"] == wanted["part"]) & placed["owner"].eqNullSafe(wanted["owner"])
     rows = placed.join(wanted, same).select("task", wanted["group"], "key", "side").join(sets, "key")
-    crossed = rows.groupBy("task").applyInArrow(compare, "u long, v long")
+    crossed = rows.groupBy("task").applyInArrow(_compared, "u long, v long")
     return links.unionByName(first).unionByName(crossed)
 
 
-def _led(stars: DataFrame, sets: DataFrame, hot) -> DataFrame:
+def _led(stars: DataFrame, sets: DataFrame) -> DataFrame:
     """The links among the pairs (key, lead); a lead's followers spread over several tasks."""
     leads = stars.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     followed = stars.join(leads, "lead").withColumn("part", F.pmod(F.xxhash64("key"), "parts"))
     rows = followed.select("lead", "part", "key", F.lit(1).alias("side"))
     heads = followed.select("lead", "part", F.col("lead").alias("key"), F.lit(0).alias("side")).distinct()
     full = rows.unionByName(heads).join(sets, "key").withColumn("group", F.col("lead"))
-    return full.groupBy("lead", "part").applyInArrow(lambda t: _compared(t, hot.value), "u long, v long")
+    return full.groupBy("lead", "part").applyInArrow(_compared, "u long, v long")
 
 
 def _classes(keyed: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame, DataFrame]:

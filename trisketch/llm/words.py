@@ -18,6 +18,7 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 
 # Odd multipliers of two independent polynomial hashes, and of the n-gram hash.
 FIRST, SECOND, GRAM = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
+HASHED_AT_ONCE = 1 << 19
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -66,18 +67,27 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False, two: bo
     after[edges[edges > 0] - 1] = False
     start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
     size = end - start
-    first = np.cumsum(size) - size
-    place = np.arange(int(size.sum())) - np.repeat(first, size)
-    letters = data[inside].astype(np.uint64) + np.uint64(1)
     longest = int(size.max()) if len(size) else 1
-
-    def hashed(base: np.uint64) -> np.ndarray:
-        if not len(size):
-            return np.zeros(0, np.uint64)
-        return mixed(np.add.reduceat(letters * _powers(base, longest)[place], first) + size.astype(np.uint64))
+    total = np.cumsum(size)
+    blocks = np.searchsorted(total, np.arange(0, total[-1] if len(size) else 0, HASHED_AT_ONCE), "right")
+    cuts = np.unique(np.append(blocks, len(size)))
+
+    def hashed(*bases: np.uint64) -> list[np.ndarray]:
+        """Block by block, as the letters of a word take eight bytes each while it is hashed."""
+        out = [np.zeros(len(size), np.uint64) for _ in bases]
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            some = slice(start[i], end[j - 1])
+            letters = data[some][inside[some]].astype(np.uint64) + np.uint64(1)
+            first = np.cumsum(size[i:j]) - size[i:j]
+            place = np.arange(len(letters)) - np.repeat(first, size[i:j])
+            for hashes, base in zip(out, bases, strict=True):
+                sums = np.add.reduceat(letters * _powers(base, longest)[place], first)
+                hashes[i:j] = mixed(sums + size[i:j].astype(np.uint64))
+        return out
 
     bounds = np.searchsorted(start, offsets)
-    return Words(data, bounds, start, end, hashed(FIRST), hashed(SECOND) if two else None)
+    hashes = hashed(FIRST, SECOND) if two else [*hashed(FIRST), None]
+    return Words(data, bounds, start, end, *hashes)
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
