@@ -8,26 +8,31 @@ from pyspark.sql import functions as F
 from trisketch.session import materialize
 
 
-def _towards_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+BROADCAST_EDGES = 500_000
+"""Up to so many edges, counted before, the least neighbours are broadcast (16 bytes each)."""
+
+
+def _towards_least(edges: DataFrame, least: DataFrame, small: bool) -> DataFrame:
     """(v, least) for each edge (u, v), where `least` is the smallest id at or beside u.
 
     A vertex with very many edges is pre-aggregated for its least neighbour, and its edges meet
     that one row in a join whose large partitions can be split.
     """
+    least = F.broadcast(least) if small else least
     return edges.join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, small: bool) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("least")).withColumn("least", F.least("u", "least"))
-    return _towards_least(both.where("v > u"), least).where("u != v").distinct()
+    return _towards_least(both.where("v > u"), least, small).where("u != v")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, small: bool) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("least"))
     own = least.select("u", F.col("least").alias("v"))
-    return _towards_least(down, least).where("u != v").unionByName(own).distinct()
+    return _towards_least(down, least, small).where("u != v").unionByName(own).distinct()
 
 
 def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
@@ -49,7 +54,8 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
         mark = new
         if new[0] == 0:
             break
-        state = materialize(_small_star(_large_star(state)), purpose)
+        small = new[0] <= BROADCAST_EDGES
+        state = materialize(_small_star(_large_star(state, small), small), purpose)
     leaf = state.select(F.col("u").alias("node"), F.col("v").alias("component"))
     root = state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return leaf.unionByName(root)

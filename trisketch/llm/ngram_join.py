@@ -460,6 +460,8 @@ def class_links(classes: DataFrame, buckets: int) -> DataFrame:
     links = small.groupBy("task").applyInArrow(_compared, "u long, v long")
 
     large = grouped.where(F.col("size") > BLOCK).select("key", "group")
+    if large.isEmpty():
+        return links
     lead = F.struct("m", F.col("lead.key").alias("k"))
     best = (
         stars.where(_can_link(F.col("n"), F.col("r"), F.col("lead.n"), F.col("lead.r")))
