@@ -44,7 +44,7 @@ def test_edges_vertices_degrees(edges_of):
     assert {r.id: r.deg for r in graph.degrees(edges).collect()} == Counter(x for e in clean for x in e)
 
 
-@pytest.mark.parametrize("hot", [4096, 8, 1])
+@pytest.mark.parametrize("hot", [1_000_000, 8, 1])
 def test_orientation_bounds_out_degrees_with_and_without_hot_vertices(edges_of, monkeypatch, hot):
     monkeypatch.setattr(graph, "HOT_VERTICES", hot)
     clean = simple(random_graph(60, 150, seed=2, hubs=3))
@@ -57,11 +57,11 @@ def test_orientation_bounds_out_degrees_with_and_without_hot_vertices(edges_of,
     assert max(Counter(r.src for r in rows).values()) <= (2 * len(clean)) ** 0.5
 
 
-@pytest.mark.parametrize("hot,salt,block", [(4096, 100_000, 1024), (8, 3, 2), (2, 1, 1)])
+@pytest.mark.parametrize("hot,salt,block", [(1_000_000, 10_000_000, 1024), (8, 3, 2), (2, 1, 1)])
 @pytest.mark.parametrize("seed,hubs", [(3, 0), (4, 2), (5, 5)])
 def test_random_graphs_however_hot_vertices_are_split(edges_of, monkeypatch, hot, salt, block, seed, hubs):
     monkeypatch.setattr(graph, "HOT_VERTICES", hot)
-    monkeypatch.setattr(tri, "LISTS_PER_SALT", salt)
+    monkeypatch.setattr(tri, "IDS_PER_SALT", salt)
     monkeypatch.setattr(tri, "RECEIVERS_PER_BLOCK", block)
     pairs = random_graph(40, 220, seed=seed, hubs=hubs)
     edges = graph.canonical_edges(edges_of(pairs))
@@ -121,7 +121,7 @@ def test_the_edges_of_a_hub_spread_over_tasks(edges_of, fixed_partitions, hub):
 
 
 def test_the_lists_a_hub_receives_spread_over_tasks(edges_of, fixed_partitions, monkeypatch):
-    monkeypatch.setattr(tri, "LISTS_PER_SALT", 50)
+    monkeypatch.setattr(tri, "IDS_PER_SALT", 200_000)
     pairs = [(hub, i) for hub in (-1, -2) for i in range(-2, 4000)]
     closed = tri.closed_wedges(graph.orient(graph.canonical_edges(edges_of(pairs))))
     sizes = rows_per_partition(closed)

@@ -5,7 +5,7 @@ import pytest
 from trisketch.operators.graph import canonical_edges
 from trisketch.session import materialize, shared_folder
 from trisketch.sources.edges import edge_lines, edges_from_transitions, parse_edges, read_edge_text
-from trisketch.sources.items import equal_batches, parse_items
+from trisketch.sources.items import batch_bounds, equal_batches, parse_items
 
 
 def lines(spark, *values):
@@ -55,6 +55,15 @@ def test_equal_batches(spark):
     assert sorted((r.b, r["count"]) for r in got) == [(i, 5) for i in range(5)]
 
 
+@pytest.mark.parametrize("n", [0, 1, 7, 10, 19, 1005])
+def test_batches_lose_no_row(spark, n):
+    table = spark.range(n)
+    got = {r.id: r.b for r in table.select("id", equal_batches(table, "id", 10).alias("b")).collect()}
+    bounds = batch_bounds(n, 10)
+    assert got == {i: b for b, (low, high) in enumerate(bounds) for i in range(low, high)}
+    assert len(bounds) == min(n, 10) and set(got) == set(range(n))
+
+
 def test_materialized_frames_read_a_table_of_the_shared_folder(spark, edges_of):
     edges = canonical_edges(edges_of([(1, 2), (2, 1), (2, 3)]))
     stored = materialize(edges, "edges")

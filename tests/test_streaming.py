@@ -6,7 +6,9 @@ from brute import sketch
 from pyspark.sql import functions as F
 
 from trisketch.functions.hashing import ROWS
-from trisketch.sources.items import parse_items
+from trisketch.plans import stream_queries as sq
+from trisketch.session import shared_folder
+from trisketch.sources.items import batch_bounds, parse_items
 from trisketch.streaming import ledger as lg
 from trisketch.streaming import sources as ss
 from trisketch.streaming import state as st
@@ -20,14 +22,12 @@ def landings(count, size, seed):
     return [[rng.choice([5, rng.randint(-20, 90)]) for _ in range(size)] for _ in range(count)]
 
 
-def land(spark, batches, path):
-    rows = [(b, str(v)) for b, batch in enumerate(batches) for v in batch]
-    lines = spark.createDataFrame(rows, "b int, value string")
-    ss.land_in_order(lines, F.col("b"), len(batches), path)
+def land(spark, batch, path):
+    ss.land(spark.createDataFrame([(str(v),) for v in batch], "value string"), path)
 
 
-def run(state, path, checkpoint):
-    query = st.start_updates(state, path, checkpoint, ONCE)
+def run(state, checkpoint):
+    query = st.start_updates(state, checkpoint, ONCE)
     query.awaitTermination()
     return query
 
@@ -42,78 +42,127 @@ def folder(tmp_path):
 
 
 def items(spark, path):
-    return parse_items(ss.text_lines(spark, path, files_per_batch=2))
+    return parse_items(ss.text_lines(spark, path))
 
 
-def read_freq(spark, path):
-    return {r.item: r.f for r in st.latest_state(spark, path, ["item"], "f").collect()}
+def read_freq(spark, checkpoint):
+    return {r.item: r.f for r in st.current_state(spark, checkpoint, "f").collect()}
 
 
-def test_state_spans_micro_batches_and_survives_a_restart(spark, folder):
+def test_state_spans_micro_batches_and_survives_restarts(spark, folder):
     batches = landings(4, 60, seed=1)
-    land(spark, batches[:2], folder("in"))
-    state = lambda: st.frequency_state(items(spark, folder("in")), LEFT, RIGHT)
-    query = run(state(), folder("freq"), folder("ckpt"))
-    assert query.lastProgress["batchId"] >= 1
-    land(spark, batches[2:], folder("in"))
-    run(state(), folder("freq"), folder("ckpt"))
-    got = read_freq(spark, folder("freq"))
-    outside = got.pop(None)
-    assert got == expected_freq(batches) and outside + sum(got.values()) == 240
+    for number, batch in enumerate(batches):
+        land(spark, batch, folder("in"))
+        query = run(st.frequency_state(items(spark, folder("in")), LEFT, RIGHT), folder("ckpt"))
+        assert query.lastProgress["batchId"] >= number
+        got = read_freq(spark, folder("ckpt"))
+        outside = got.pop(None)
+        assert got == expected_freq(batches[: number + 1]) and outside + sum(got.values()) == 60 * (number + 1)
 
 
 def test_sketch_state_equals_the_batch_sketch(spark, folder):
     batches = landings(3, 50, seed=2)
-    land(spark, batches, folder("in"))
-    run(st.sketch_state(items(spark, folder("in")), ROWS, WIDTH, LEFT, RIGHT), folder("sk"), folder("ckpt"))
-    got = {(r.j, r.c): r.val for r in st.latest_state(spark, folder("sk"), ["j", "c"], "val").collect()}
+    for batch in batches:
+        land(spark, batch, folder("in"))
+        run(st.sketch_state(items(spark, folder("in")), ROWS, WIDTH, LEFT, RIGHT), folder("ckpt"))
+    got = {(r.j, r.c): r.val for r in st.current_state(spark, folder("ckpt"), "val").collect()}
     assert got == sketch(expected_freq(batches), ROWS, WIDTH)
 
 
-def test_replayed_batches_do_not_count_twice(spark, folder):
-    batches = landings(3, 40, seed=3)
-    land(spark, batches, folder("in"))
-    for attempt in ("first", "second"):  # a fresh checkpoint replays every batch into the same log
-        run(st.frequency_state(items(spark, folder("in")), LEFT, RIGHT), folder("freq"), folder(attempt))
-    got = read_freq(spark, folder("freq"))
-    got.pop(None)
-    assert got == expected_freq(batches)
+def test_what_is_read_does_not_grow_with_the_number_of_batches(spark, folder):
+    sizes = []
+    for _ in range(4):
+        land(spark, [7, 8, 9, 100], folder("in"))
+        run(st.frequency_state(items(spark, folder("in")), LEFT, RIGHT), folder("ckpt"))
+        sizes.append(spark.read.format("statestore").load(folder("ckpt")).count())
+    assert sizes == [4] * 4
+
+
+def folded(spark, batches, path, checkpoint, threshold):
+    for batch in batches:
+        land(spark, batch, path("in"))
+        ledger = lg.start_ledger(items(spark, path("in")), path("out"), checkpoint, LEFT, RIGHT, threshold, ONCE)
+        ledger.wait()
+        assert not ledger.query.isActive
+    return sorted(tuple(r) for r in lg.ledger(spark, path("out")).collect())
 
 
-@pytest.mark.parametrize("threshold,folded", [(1, 1), (60, 2), (61, 3), (10**6, 4)])
-def test_ledger_stops_at_the_threshold(spark, folder, threshold, folded):
+@pytest.mark.parametrize("threshold,n", [(1, 1), (60, 2), (61, 3), (10**6, 4)])
+def test_ledger_stops_at_the_threshold(spark, folder, threshold, n):
     batches = landings(4, 30, seed=4)
-    land(spark, batches, folder("in"))
-    for attempt in ("first", "second"):
-        run = lg.start_ledger(
-            items(spark, folder("in")), folder("out"), folder(attempt), LEFT, RIGHT, threshold, ONCE
-        )
-        run.wait()
-        assert not run.query.isActive
-    rows = sorted(tuple(r) for r in lg.ledger(spark, folder("out")).collect())
-    assert rows == [(i, 30, 30 * i) for i in range(folded)]
+    rows = folded(spark, batches, folder, folder("ckpt"), threshold)
+    assert rows == [(i, 30, 30 * i) for i in range(n)]
     counts = lg.folded_counts(spark, folder("out")).where("item IS NOT NULL")
-    expected = {(i, v): n for i in range(folded) for v, n in expected_freq([batches[i]]).items()}
+    expected = {(i, v): c for i in range(n) for v, c in expected_freq([batches[i]]).items()}
     assert {(r.batch_id, r.item): r.f for r in counts.collect()} == expected
 
 
+def test_replayed_batches_do_not_count_twice(spark, folder):
+    land(spark, [1, 2, 2], folder("in"))
+    for attempt in ("first", "second"):  # a fresh checkpoint replays the batch into the same ledger
+        lg.start_ledger(items(spark, folder("in")), folder("out"), folder(attempt), LEFT, RIGHT, 100, ONCE).wait()
+    assert [tuple(r) for r in lg.ledger(spark, folder("out")).collect()] == [(0, 3, 0)]
+
+
+def test_landings_of_one_row_do_not_mix(spark, folder):
+    rows = folded(spark, [[i] for i in range(6)], folder, folder("ckpt"), 100)
+    assert rows == [(i, 1, i) for i in range(6)]
+
+
+@pytest.mark.parametrize("n", [3, 19, 1005])
+@pytest.mark.parametrize("percent", [55, 100])
+def test_batch_and_stream_form_of_the_threshold_agree(spark, folder, monkeypatch, n, percent):
+    monkeypatch.setattr(sq, "STOP_PERCENT", percent)
+    spark.range(n).select(F.col("id").alias("event_id"), (F.col("id") % 50).alias("user_id")).write.parquet(
+        folder("events.parquet")
+    )
+    batch = sorted(tuple(r) for r in sq.QUERIES["threshold_batches"](spark, folder("")).collect())
+    stream = sorted(tuple(r) for r in sq.stream_ledger(spark, folder("")).collect())
+    assert batch == stream and len(batch) <= min(n, sq.BATCHES)
+    if percent == 100:
+        assert sum(r[1] for r in batch) == n and len(batch) == min(n, sq.BATCHES)
+    assert [(r[0], r[1]) for r in batch] == [
+        (i, high - low) for i, (low, high) in enumerate(batch_bounds(n, sq.BATCHES))
+    ][: len(batch)]
+
+
 def test_a_running_ledger_is_stopped(spark, folder):
-    land(spark, landings(3, 30, seed=5), folder("in"))
-    run = lg.start_ledger(items(spark, folder("in")), folder("out"), folder("ckpt"), LEFT, RIGHT, 31)
-    run.wait()
-    assert run.reached.is_set() and not run.query.isActive
-    assert lg.ledger(spark, folder("out")).count() == 2
+    for batch in landings(3, 30, seed=5):
+        land(spark, batch, folder("in"))
+    one_file = parse_items(ss.text_lines(spark, folder("in"), files_per_batch=1))
+    ledger = lg.start_ledger(one_file, folder("out"), folder("ckpt"), LEFT, RIGHT, 5)
+    ledger.wait()
+    assert ledger.reached.is_set() and not ledger.query.isActive
 
 
 def test_a_bad_line_fails_the_query(spark, folder):
     spark.createDataFrame([("1",), ("x",)], "value string").write.text(folder("in"))
-    run = lg.start_ledger(items(spark, folder("in")), folder("out"), folder("ckpt"), LEFT, RIGHT, 10, ONCE)
+    ledger = lg.start_ledger(items(spark, folder("in")), folder("out"), folder("ckpt"), LEFT, RIGHT, 10, ONCE)
     with pytest.raises(Exception):
-        run.wait()
+        ledger.wait()
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_a_table_streams_as_one_file_or_as_a_folder(spark, folder, tmp_path, files):
+    spark.range(10).repartition(files).write.parquet(folder("written"))
+    path = folder("written")
+    if files == 1:  # the table is the file itself, next to another one
+        [part] = tmp_path.glob("written/part-*")
+        path = folder("t.parquet")
+        (tmp_path / "t.parquet").write_bytes(part.read_bytes())
+        (tmp_path / "u.parquet").write_bytes(part.read_bytes())
+    run(st.frequency_state(parse_items(ss.column_lines(spark, path, "id", files_per_batch=2)), 3, 5), folder("ckpt"))
+    assert read_freq(spark, folder("ckpt")) == {3: 1, 4: 1, 5: 1, None: 7}
+
+
+@pytest.mark.parametrize("name", ["stream_item_frequency", "stream_count_sketch", "stream_report_from_state"])
+def test_state_queries_on_a_folder_table(spark, folder, name):
+    rows = spark.range(400).select(F.col("id").alias("event_id"), (F.col("id") * 7 % 130).alias("user_id"))
+    rows.repartition(3).write.parquet(folder("many/events.parquet"))
+    rows.coalesce(1).write.parquet(folder("one/events.parquet"))
+    many, one = (Counter(map(tuple, sq.QUERIES[name](spark, folder(d)).collect())) for d in ("many", "one"))
+    assert many == one and sum(one.values()) > 0
 
 
-def test_column_stream(spark, folder):
-    spark.range(10).write.parquet(folder("in"))
-    stream = parse_items(ss.column_lines(spark, folder("in"), "id", files_per_batch=2))
-    run(st.frequency_state(stream, 3, 5), folder("out"), folder("ckpt"))
-    assert read_freq(spark, folder("out")) == {3: 1, 4: 1, 5: 1, None: 7}
+def test_the_shared_folder_is_new_each_time(spark):
+    assert shared_folder(spark, "x") != shared_folder(spark, "x")

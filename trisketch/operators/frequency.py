@@ -65,8 +65,14 @@ def items_by_frequency(freq: DataFrame) -> DataFrame:
 
 
 def phi_k(freq: DataFrame, k: int) -> DataFrame:
-    """The k-th largest frequency, repeats counted; the smallest one if there are fewer than k."""
-    return freq.select("f").orderBy(F.col("f").desc()).limit(max(k, 0)).agg(F.min("f").alias("phi"))
+    """The k-th largest frequency, repeats counted; the smallest one if there are fewer than k.
+
+    Items are counted per frequency first. Frequencies add up to the stream's length n, so at most
+    sqrt(2n) distinct ones go through the running sum, whatever k is.
+    """
+    per_frequency = freq.where("f IS NOT NULL").groupBy("f").agg(F.count("*").alias("items"))
+    above = F.coalesce(F.sum("items").over(Window.orderBy(F.col("f").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return per_frequency.select("f", above.alias("above")).where(F.col("above") < max(k, 0)).agg(F.min("f").alias("phi"))
 
 
 def top_k_with_ties(freq: DataFrame, k: int) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Degrees add up to 2m, so at most this many vertices can have a degree above
-# 2m / HOT_VERTICES. That is the size bound of the one table broadcast here.
-HOT_VERTICES = 4096
+# 2m / HOT_VERTICES. That is the size bound of the one table broadcast here (16 bytes each).
+HOT_VERTICES = 1_000_000
 
 
 def canonical_edges(edges: DataFrame) -> DataFrame:
@@ -36,14 +36,14 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 def _attach_degree(edges: DataFrame, deg: DataFrame, hot: DataFrame, end: str, other: str) -> DataFrame:
     """Add deg_<end>. Hot vertices come from the bounded broadcast; in the shuffle that looks
-    up the rest their edges go by a hash of the other end, so none gathers in one task. What
+    up the rest their edges go by a hash of both ends, so none gathers in one task. What
     such a key may match by chance is ignored, and as ids are unique it adds no row.
     """
     hot = hot.selectExpr(f"id AS {end}", "deg AS hot_deg")
     rest = deg.selectExpr("id AS lookup", "deg AS cold_deg")
     return (
         edges.join(F.broadcast(hot), end, "left")
-        .withColumn("lookup", F.expr(f"if(hot_deg IS NULL, {end}, xxhash64({other}))"))
+        .withColumn("lookup", F.expr(f"if(hot_deg IS NULL, {end}, xxhash64({end}, {other}))"))
         .join(rest, "lookup", "left")
         .withColumn(f"deg_{end}", F.coalesce("hot_deg", "cold_deg"))
         .drop("lookup", "hot_deg", "cold_deg")

@@ -93,14 +93,9 @@ def estimate_frequencies(freq: DataFrame, sketch: DataFrame, rows: Rows, width:
     )
 
 
-def listed_estimates(estimates: DataFrame, k: int, limit: int = 20) -> DataFrame:
-    """The per-item lines of a report, shown only for k up to `limit`."""
-    return estimates if k <= limit else estimates.where(F.lit(False))
-
-
 def avg_relative_error(estimates: DataFrame) -> DataFrame:
-    """Mean of |f - f_est| / f over the given items; null for none."""
-    error = F.abs(F.col("f") - F.col("f_est")) / F.col("f").cast("double")
+    """Mean of |f - f_est| / f over the given items with f > 0; null for none."""
+    error = F.try_divide(F.abs(F.col("f") - F.col("f_est")).cast("double"), F.col("f").cast("double"))
     return estimates.agg(F.avg(error).alias("avg_rel_error"))
 
 

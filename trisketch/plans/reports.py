@@ -15,13 +15,14 @@ from trisketch.operators import colors as co
 from trisketch.operators import frequency as fr
 from trisketch.operators import sketch as sk
 from trisketch.operators.graph import edge_count
+from trisketch.operators.triangles import triangle_count
 
 
 def triangle_report(
-    edges: DataFrame, colors: int, runs: Sequence[tuple[int, int]], mode: str = "approx"
+    edges: DataFrame, colors: int, runs: Sequence[tuple[int, int]], mode: str = "approx", seed: int = 7
 ) -> DataFrame:
-    """Approximate mode: median node-colour estimate over all runs and the edge-partition
-    estimate. Exact mode: the colour-triplet count of the last run.
+    """Approximate mode: median node-colour estimate over all runs and the estimate by a random
+    partition of the edges. Exact mode: the number of triangles, which is the same in every run.
     """
     head = [
         F.col("n_edges"),
@@ -30,13 +31,13 @@ def triangle_report(
     ]
     if mode == "approx":
         median = co.median_over_runs(co.node_color_runs(edges, colors, runs))
-        parted = co.approx_by_partition(co.partition_edges(edges, colors), colors)
+        parted = co.approx_by_partition(co.partition_edges_randomly(edges, colors, seed), colors)
         figures = [
             median.scalar().alias("node_color_median"),
             parted.scalar().alias("partition_estimate"),
         ]
     elif mode == "exact":
-        figures = [co.last_run(co.exact_runs(edges, colors, runs)).scalar().alias("triangles")]
+        figures = [triangle_count(edges).scalar().alias("triangles")]
     else:
         raise ValueError(f"mode must be 'approx' or 'exact', got {mode!r}")
     return edge_count(edges).select(*head, *figures)

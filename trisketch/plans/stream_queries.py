@@ -6,7 +6,7 @@ Stream 2 (`_parts`): lineitem.l_partkey.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,7 @@ from trisketch.functions.hashing import ROWS
 from trisketch.operators import frequency as fr
 from trisketch.operators import sketch as sk
 from trisketch.plans import reports as rp
-from trisketch.session import shared_folder
+from trisketch.session import remove_folder, shared_folder
 from trisketch.sources import items as src
 from trisketch.streaming import ledger as lg
 from trisketch.streaming import sources as ss
@@ -24,6 +24,8 @@ from trisketch.streaming import state as st
 
 BATCHES = 10
 STOP_PERCENT = 55
+STATE_BATCHES = 4
+ONCE = {"availableNow": True}
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,6 +119,8 @@ FROM n"""
 
 USERS = Stream("events", "user_id", left=10, right=120, width=32, k=10)
 PARTS = Stream("lineitem", "l_partkey", left=100, right=1500, width=256, k=20)
+# The interval holds every part, so the distinct items grow with the table.
+ALL_PARTS = Stream("lineitem", "l_partkey", left=0, right=2**40, width=1024, k=25)
 
 
 def rounded(df: DataFrame, column: str) -> DataFrame:
@@ -149,9 +153,9 @@ def batch_report(stream: Stream, spark: SparkSession, sf: str) -> DataFrame:
     return stream.report(fr.stream_length(stream.items(spark, sf)), freq, stream.folded_sketch(freq))
 
 
-# ---- both streams ----------------------------------------------------------
+# ---- all streams ----------------------------------------------------------
 
-for suffix, S in (("", USERS), ("_parts", PARTS)):
+for suffix, S in (("", USERS), ("_parts", PARTS), ("_all_parts", ALL_PARTS)):
     C = S.ctes()
     register(
         f"item_frequency{suffix}",
@@ -230,7 +234,7 @@ for suffix, S in (("", USERS), ("_parts", PARTS)):
 # ---- stream 1 only ---------------------------------------------------------
 
 IN_RANGE = f"user_id BETWEEN {USERS.left} AND {USERS.right}"
-BATCH_ID = f"event_id // (SELECT count(*) // {BATCHES} FROM events)"
+BATCH_ID = f"event_id * (SELECT least({BATCHES}, count(*)) FROM events) // (SELECT count(*) FROM events)"
 EVEN = USERS.ctes(depth=4)
 
 register(
@@ -269,8 +273,8 @@ register(
 )
 register(
     "heavy_hitter_lines",
-    lambda s, d: sk.listed_estimates(USERS.heavy(s, d), USERS.k),
-    f"WITH {USERS.ctes()} SELECT item, f, f_est FROM heavy WHERE {USERS.k} <= 20",
+    lambda s, d: USERS.heavy(s, d).orderBy(F.col("f").desc(), "item"),
+    f"WITH {USERS.ctes()} SELECT item, f, f_est FROM heavy ORDER BY f DESC, item",
 )
 register(
     "heavy_hitter_estimates_even",
@@ -304,49 +308,62 @@ register(
 # ---- Structured Streaming --------------------------------------------------
 
 
-def stream_items(spark: SparkSession, sf: str) -> DataFrame:
-    return src.parse_items(ss.column_lines(spark, sf, "user_id", glob="events.parquet"))
+def landings(spark: SparkSession, sf: str, path: str, batches: int = BATCHES) -> Iterator[int]:
+    """Land the events in order, a range of event ids at a time; what follows handles each landing."""
+    rows = USERS.read(spark, sf).count()
+    for number, (low, high) in enumerate(src.batch_bounds(rows, batches)):
+        ss.land(lines(spark, sf).where((F.col("event_id") >= low) & (F.col("event_id") < high)), path)
+        yield number
 
 
-def drained(state: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Run a stateful query over everything available and read its result table."""
-    spark = state.sparkSession
-    path = shared_folder(spark, "state")
-    query = st.start_updates(state, path, shared_folder(spark, "checkpoint"), {"availableNow": True})
-    query.awaitTermination()
-    return st.latest_state(spark, path, keys, value)
+def drained(spark: SparkSession, state: DataFrame, checkpoint: str) -> None:
+    """Run a stateful query over everything available, from where its checkpoint stands."""
+    st.start_updates(state, checkpoint, ONCE).awaitTermination()
+
+
+def state_over_landings(spark: SparkSession, sf: str, state_of: Callable[[DataFrame], DataFrame], value: str) -> DataFrame:
+    """The state after several micro-batches, the query restarted for each."""
+    landed, checkpoint = shared_folder(spark, "landed"), shared_folder(spark, "checkpoint")
+    for _ in landings(spark, sf, landed, STATE_BATCHES):
+        drained(spark, state_of(src.parse_items(ss.text_lines(spark, landed))), checkpoint)
+    remove_folder(spark, landed)
+    return st.current_state(spark, checkpoint, value)
 
 
 def stream_frequency(spark: SparkSession, sf: str) -> DataFrame:
-    return drained(st.frequency_state(stream_items(spark, sf), USERS.left, USERS.right), ["item"], "f")
+    return state_over_landings(spark, sf, lambda items: st.frequency_state(items, USERS.left, USERS.right), "f")
 
 
 def stream_sketch(spark: SparkSession, sf: str) -> DataFrame:
-    state = st.sketch_state(stream_items(spark, sf), ROWS, USERS.width, USERS.left, USERS.right)
-    return drained(state, ["j", "c"], "val")
+    def state_of(items: DataFrame) -> DataFrame:
+        return st.sketch_state(items, ROWS, USERS.width, USERS.left, USERS.right)
+
+    return state_over_landings(spark, sf, state_of, "val")
 
 
 def report_from_state(spark: SparkSession, sf: str) -> DataFrame:
-    counts = stream_frequency(spark, sf)
-    length = counts.agg(F.sum("f").alias("n_items"))
-    return USERS.report(length, counts.where("item IS NOT NULL"), stream_sketch(spark, sf))
+    """One query over the table's column; length, frequencies and sketch all come from its state."""
+    items = src.parse_items(ss.column_lines(spark, f"{sf}/{USERS.table}.parquet", USERS.column))
+    checkpoint = shared_folder(spark, "checkpoint")
+    drained(spark, st.frequency_state(items, USERS.left, USERS.right), checkpoint)
+    counts = st.current_state(spark, checkpoint, "f")
+    freq = counts.where("item IS NOT NULL")
+    return USERS.report(counts.agg(F.sum("f").alias("n_items")), freq, USERS.folded_sketch(freq))
 
 
 def ledger_run(spark: SparkSession, sf: str) -> str:
-    """Land the ten batches in order and fold them until the threshold."""
-    events = USERS.read(spark, sf)
+    """Land the ten batches in order, each a micro-batch of one query, until the threshold."""
     landed, path = shared_folder(spark, "landed"), shared_folder(spark, "ledger")
-    ss.land_in_order(lines(spark, sf), src.equal_batches(events, "event_id", BATCHES), BATCHES, landed)
-    run = lg.start_ledger(
-        src.parse_items(ss.text_lines(spark, landed, files_per_batch=2)),
-        path,
-        shared_folder(spark, "checkpoint"),
-        USERS.left,
-        USERS.right,
-        stop_after(spark, sf).first()["threshold"],
-        {"availableNow": True},
-    )
-    run.wait()
+    checkpoint = shared_folder(spark, "checkpoint")
+    threshold = stop_after(spark, sf).first()["threshold"]
+    for _ in landings(spark, sf, landed):
+        items = src.parse_items(ss.text_lines(spark, landed))
+        run = lg.start_ledger(items, path, checkpoint, USERS.left, USERS.right, threshold, ONCE)
+        run.wait()
+        if run.reached.is_set():
+            break
+    for folder in (landed, checkpoint):
+        remove_folder(spark, folder)
     return path
 
 

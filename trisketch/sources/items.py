@@ -21,6 +21,17 @@ def items_from_column(table: DataFrame, item: str, *keep: str) -> DataFrame:
 
 
 def equal_batches(table: DataFrame, order: str, batches: int) -> Column:
-    """Batch number of a row when a dense order key is cut into equal runs of rows."""
-    size = table.select(F.expr(f"greatest(count(1) div {batches}, 1)").alias("size"))
-    return F.call_function("div", F.col(order), size.scalar())
+    """Batch number of a row when a dense 0-based order key is cut into `batches` runs of rows.
+
+    Run sizes differ by one row at most; a table with fewer rows gets one run per row.
+    """
+    n = table.agg(F.count("*").alias("n"))
+    runs = F.least(F.lit(batches).cast("bigint"), n.scalar())
+    return F.call_function("div", F.col(order) * runs, n.scalar())
+
+
+def batch_bounds(rows: int, batches: int) -> list[tuple[int, int]]:
+    """The runs of `equal_batches` as ranges [low, high) of the order key."""
+    runs = min(batches, rows)
+    cuts = [-(-i * rows // runs) for i in range(runs + 1)] if runs else [0]
+    return list(zip(cuts[:-1], cuts[1:]))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,27 +19,35 @@ def kafka_lines(spark: SparkSession, servers: str, topic: str, **options: str) -
     return reader.option("subscribe", topic).options(**options).load().select(F.col("value").cast("string"))
 
 
-def text_lines(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Lines of text files as they land in a folder."""
-    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+def text_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """Lines of text files as they land in a folder; without a limit a batch takes all new files."""
+    stream = spark.readStream
+    if files_per_batch:
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
+    return stream.text(path)
+
+
+def _folder_and_glob(spark: SparkSession, path: str) -> tuple[str, str]:
+    """A table that is a folder of files, or one file, as a folder and a pattern of file names."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    files = [unquote(f) for f in spark.read.parquet(path).inputFiles()]
+    one_file = len(files) == 1 and files[0].endswith(f"/{name}") and not files[0].endswith(f"/{name}/{name}")
+    return (parent, name) if one_file else (path, "*")
 
 
-def column_lines(
-    spark: SparkSession, path: str, column: str, glob: str = "*.parquet", files_per_batch: int = 1000
-) -> DataFrame:
-    """An integer column of the Parquet files in a folder, as text lines."""
-    options = {"pathGlobFilter": glob}
-    schema = spark.read.options(**options).parquet(path).schema
-    stream = spark.readStream.schema(schema).options(**options).option("maxFilesPerTrigger", files_per_batch)
-    return stream.parquet(path).select(F.col(column).cast("string").alias("value"))
+def column_lines(spark: SparkSession, path: str, column: str, files_per_batch: int | None = None) -> DataFrame:
+    """An integer column of a Parquet table, one file or a folder of files, as text lines."""
+    folder, glob = _folder_and_glob(spark, path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("pathGlobFilter", glob)
+    if files_per_batch:
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
+    return stream.parquet(folder).select(F.col(column).cast("string").alias("value"))
 
 
-def land_in_order(lines: DataFrame, batch: Column, batches: int, path: str, files: int = 2) -> None:
-    """Play a producer: land batch 0, 1, ... one after the other, `files` text files each.
+def land(lines: DataFrame, path: str) -> None:
+    """Play a producer: add these lines to a folder of text files, as many as there are tasks.
 
-    Files of one landing are older than those of the next, so a file stream that takes
-    `files` per trigger sees one landing per micro-batch.
+    A stream that takes all new files at each trigger, run once per landing on one checkpoint,
+    sees one landing per micro-batch, whatever the number and the times of the files.
     """
-    for number in range(batches):
-        landing = lines.where(batch == number).select("value")
-        landing.repartition(files).write.mode("append").text(path)
+    lines.select("value").write.mode("append").text(path)

@@ -1,14 +1,11 @@
-"""Cross-batch state: stateful aggregates whose changes are logged per micro-batch.
+"""Cross-batch state: stateful aggregates, read back from the state store of their checkpoint.
 
-A query runs in update mode. Each micro-batch writes the keys it changed to its own
-`batch_id=` folder; a replayed batch overwrites that folder, so results are exactly-once
-although foreachBatch alone is at-least-once.
+The store commits a version per micro-batch and a replayed batch starts from the version before
+it, so results are exactly-once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,9 +13,6 @@ from pyspark.sql.streaming import StreamingQuery
 from trisketch.operators.frequency import frequencies, items_in_range
 from trisketch.operators.sketch import Rows, count_sketch_in_one_step
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def tag_in_range(items: DataFrame, left: int, right: int) -> DataFrame:
     """Items outside the interval become null: one row of counts then tells their number."""
@@ -35,27 +29,25 @@ def sketch_state(items: DataFrame, rows: Rows, width: int, left: int, right: int
     return count_sketch_in_one_step(items_in_range(items, left, right), rows, width)
 
 
-def start_updates(state: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Run a stateful aggregate, logging changed keys under `path`. State lives in RocksDB
-    unless the session names another provider, so it is not bound to executor heaps.
-    """
-    spark = state.sparkSession
-    if PROVIDER not in spark.conf.getAll:
-        spark.conf.set(PROVIDER, ROCKSDB)
-
-    def log_changes(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def start_updates(state: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Run a stateful aggregate; its result is the state below the checkpoint and nothing else.
 
+    The session names the state store; RocksDB keeps state out of executor heaps.
+    """
     return (
         state.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "100 milliseconds"}))
-        .foreachBatch(log_changes)
+        .format("noop")
         .start()
     )
 
 
-def latest_state(spark: SparkSession, path: str, keys: Sequence[str], value: str) -> DataFrame:
-    """The current value per key from a change log."""
-    changes = spark.read.parquet(path)
-    return changes.groupBy(*keys).agg(F.max_by(value, "batch_id").alias(value))
+def current_state(spark: SparkSession, checkpoint: str, value: str) -> DataFrame:
+    """(keys..., value) as of the last committed micro-batch, read from the state store.
+
+    What is read is the state, however many micro-batches made it.
+    """
+    rows = spark.read.format("statestore").load(checkpoint)
+    buffer = rows.schema["value"].dataType.names[0]
+    return rows.select("key.*", F.col("value").getField(buffer).alias(value))
