@@ -26,7 +26,8 @@ from trisketch.session import materialize
 WINDOW, GRAM = 20, 4
 RUN_BYTES = 4 << 20
 """Bytes of text that a task hashes at once, and that a bucket holds on average."""
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS, BROADCAST_SPANS = 500_000, 4_000_000
+"""Up to so many documents with so many spans (8 bytes each) in all, counted before, are broadcast."""
 SENT = "bucket int, keys binary, starts binary, sizes binary, text binary"
 
 
@@ -204,7 +205,8 @@ def remove_repeated(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     spans = repeated_spans(rows, bucket_count(documents, text))
     lists = spans.groupBy("key").agg(F.collect_list(F.struct("first", "stop")).alias("spans"))
     lists = materialize(lists.select("key", "spans.first", "spans.stop"), "spans")
-    if lists.count() <= BROADCAST_ROWS:
+    n_lists, n_spans = lists.agg(F.count("*"), F.coalesce(F.sum(F.size("first")), F.lit(0))).first()
+    if n_lists <= BROADCAST_ROWS and n_spans <= BROADCAST_SPANS:
         lists = F.broadcast(lists)
     whole = keyed.select(F.col("__key").alias("key"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     joined = whole.join(lists, "key", "left").select("doc_id", "text", "first", "stop")
