@@ -7,7 +7,7 @@ from collections import Counter
 
 import duckdb
 
-SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def connect(sf: str) -> duckdb.DuckDBPyConnection:
