@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trisketch.llm import decontamination as dc
 from trisketch.llm import embedding_dedup as ed
+from trisketch.llm import langid as li
 from trisketch.llm import lm
 from trisketch.llm import merkle as mk
 from trisketch.llm import mixing as mx
@@ -249,3 +250,14 @@ sums AS (
   FROM counted n JOIN members m ON m.c = n.c AND m.d <= n.d GROUP BY m.k)
 SELECT n.c AS conv_id, n.d AS depth, p.c AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
 FROM counted n JOIN sums s ON s.k = n.k LEFT JOIN nodes p ON p.k = n.above"""
+
+
+def op11_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    pieces = li.read_pieces(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    model = li.learn(docs.where(~li.held_out(F.col("doc_id"))), pieces)
+    found = li.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", li.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES["op11_language_id"] = op11_language_id
