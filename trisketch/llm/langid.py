@@ -35,6 +35,8 @@ STEPS = 2
 FLOOR = 0.01
 """The part of each language's probability that all pieces share alike."""
 PER_BYTE = 1e3
+PACKED = 8
+"""Bytes that an integer holds; so long pieces are found for many words at once."""
 MOST_LANGUAGES = 500
 """Bounds the broadcast model: so many floats for each of the pieces."""
 UNDETERMINED = "und"
@@ -82,20 +84,55 @@ class Model:
         self.name = seen.hexdigest()
 
 
-@dataclass
+def _find(known: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Where the codes stand among the known, sorted ones; -1 for those that do not."""
+    if not len(known):
+        return np.full(len(codes), -1)
+    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+    return np.where(known[at] == codes, at, -1)
+
+
+class Pieces:
+    """Places of byte strings in the vocabulary, for whole columns of bytes at once."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.index = {p: i for i, p in enumerate(pieces)}
+        self.longest = max(map(len, pieces), default=1)
+        self.packed = []
+        for size in range(1, PACKED + 1):
+            same = sorted((int.from_bytes(p, "big"), i) for p, i in self.index.items() if len(p) == size)
+            self.packed.append((np.array([c for c, _ in same], np.uint64), np.array([i for _, i in same], np.int64)))
+        self.beginnings = np.unique(np.array([int.from_bytes(p[:PACKED], "big") for p in pieces if len(p) > PACKED], np.uint64))
+
+    def of(self, size: int, codes: np.ndarray) -> np.ndarray:
+        """Places of the pieces of `size` bytes, at most PACKED, that the integers spell; -1 for none."""
+        known, places = self.packed[size - 1]
+        at = _find(known, codes)
+        return np.where(at >= 0, places[at], -1) if len(known) else at
+
+
 class Lattice:
     """All pieces in words of one length: piece[(i, j)][w] is the piece of word w from i to j, or -1."""
 
-    index: dict[bytes, int]
-    longest: int
-    words: list[bytes]
-    piece: dict[tuple[int, int], np.ndarray] = field(init=False)
-
-    def __post_init__(self) -> None:
-        n, get = len(self.words[0]), self.index.get
-        spans = ((i, j) for j in range(1, n + 1) for i in range(max(0, j - self.longest), j))
-        found = {(i, j): np.array([get(w[i:j], -1) for w in self.words]) for i, j in spans}
-        self.piece = {span: ids for span, ids in found.items() if (ids >= 0).any()}
+    def __init__(self, pieces: Pieces, words: list[bytes]):
+        n, self.words = len(words[0]), words
+        letters = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), n).astype(np.uint64)
+        self.piece: dict[tuple[int, int], np.ndarray] = {}
+        for i in range(n):
+            codes = np.zeros(len(words), np.uint64)
+            for j in range(i + 1, min(n, i + PACKED) + 1):
+                codes = (codes << np.uint64(8)) | letters[:, j - 1]
+                self._add(i, j, pieces.of(j - i, codes))
+            if i + PACKED < n:
+                begun = np.flatnonzero(_find(pieces.beginnings, codes) >= 0).tolist()
+                for j in range(i + PACKED + 1, min(n, i + pieces.longest) + 1) if begun else ():
+                    ids = np.full(len(words), -1)
+                    ids[begun] = [pieces.index.get(words[w][i:j], -1) for w in begun]
+                    self._add(i, j, ids)
+
+    def _add(self, i: int, j: int, ids: np.ndarray) -> None:
+        if (ids >= 0).any():
+            self.piece[i, j] = ids
 
     def forward(self, weights: np.ndarray) -> np.ndarray:
         """sums[j]: for all words and languages, the sum over the segmentations of the first j bytes.
@@ -112,7 +149,7 @@ class Lattice:
         """The same for the bytes from j on."""
         sums = np.zeros((len(self.words[0]) + 1, len(self.words), weights.shape[1]))
         sums[-1] = 1
-        for (i, j), ids in sorted(self.piece.items(), key=lambda x: -x[0][1]):
+        for (i, j), ids in reversed(self.piece.items()):
             sums[i] += sums[j] * weights[ids]
         return sums
 
@@ -128,8 +165,7 @@ class Lattice:
 
 class Segmenter:
     def __init__(self, pieces: list[bytes]):
-        self.index = {p: i for i, p in enumerate(pieces)}
-        self.longest = max(map(len, pieces), default=1)
+        self.pieces = Pieces(pieces)
 
     def lattices(self, words: list[bytes]) -> Iterator[tuple[list[int], Lattice]]:
         """The words' places and their lattice, in blocks of words of one length."""
@@ -139,7 +175,7 @@ class Segmenter:
             step = max(1, WORDS_AT_ONCE * 8 // size)
             for begin in range(0, len(same), step):
                 block = same[begin : begin + step]
-                yield block, Lattice(self.index, self.longest, [words[k] for k in block])
+                yield block, Lattice(self.pieces, [words[k] for k in block])
 
     def logs_of(self, words: list[bytes], weights: np.ndarray) -> np.ndarray:
         """Log probabilities of the words in all languages."""
@@ -294,7 +330,7 @@ class Scorer:
 
 
 _SCORERS: dict[str, Scorer] = {}
-TEXTS_AT_ONCE = 256
+BYTES_AT_ONCE = 1 << 22
 
 
 def scorer_of(model: Model) -> Scorer:
@@ -319,8 +355,10 @@ def identify(documents: DataFrame, model: Model, text: str = "text") -> DataFram
         score = scorer_of(shared.value)
         for array in arrays:
             languages, scores = [], []
-            for begin in range(0, len(array), TEXTS_AT_ONCE):
-                some = score(array[begin : begin + TEXTS_AT_ONCE].to_pylist())
+            ends = np.cumsum([len(t.as_buffer()) if t.is_valid else 0 for t in array])
+            cuts = np.unique(np.append(np.flatnonzero(np.diff(ends // BYTES_AT_ONCE)) + 1, [0, len(array)]))
+            for begin, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                some = score(array[begin:stop].to_pylist())
                 languages += some[0]
                 scores += some[1]
             columns = pa.array(languages, pa.string()), pa.array(scores, pa.float64())
