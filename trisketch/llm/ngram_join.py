@@ -44,14 +44,19 @@ PACKED = "place int, docs boolean, keys binary, sizes binary, counts binary, tok
 def _sets(words: w.Words) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingle hashes of every text, sorted within the text, and their numbers."""
     counts = words.counts
-    five = w.grams(words.hash, SHINGLE)
+
+    def shingles(n: int, some: slice = slice(None)) -> np.ndarray:
+        """64 bits made of both lanes of the words, which only together tell words apart."""
+        return w.mixed(w.grams(words.hash[some], n) ^ w.mixed(w.grams(words.second[some], n), n), n)
+
+    five = shingles(SHINGLE)
     parts = []
     for a, n in zip(words.bounds[:-1].tolist(), counts.tolist(), strict=True):
         if n >= SHINGLE:
             x = np.sort(five[a : a + n - SHINGLE + 1])
             parts.append(x[np.concatenate([[True], x[1:] != x[:-1]])])
         elif n:
-            parts.append(w.mixed(w.grams(words.hash[a : a + n], n), n))
+            parts.append(shingles(n, slice(a, a + n)))
         else:
             parts.append(np.zeros(0, np.uint64))
     return np.concatenate(parts), np.array([len(p) for p in parts])
@@ -60,7 +65,7 @@ def _sets(words: w.Words) -> tuple[np.ndarray, np.ndarray]:
 def _set_runs(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     for batch in stream:
         for keys, data, offsets in w.chunks(batch.column(0), batch.column(1), RUN_BYTES):
-            yield keys, *_sets(w.words_of(data, offsets, lower=True))
+            yield keys, *_sets(w.words_of(data, offsets, lower=True, two=True))
 
 
 def _signatures(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

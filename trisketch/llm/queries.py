@@ -137,7 +137,7 @@ QUERIES["op6_embedding_dedup"] = op6_embedding_dedup
 
 
 def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
-    return lm.log_probabilities(documents(spark, sf)).drop("perplexity")
+    return lm.log_probabilities(documents(spark, sf))
 
 
 QUERIES["op10_lm_scoring"] = op10_lm_scoring
@@ -228,7 +228,8 @@ QUERIES["op13_prefix_trie"] = op13_prefix_trie
 ORACLES["op13_prefix_trie"] = rf"""
 WITH said AS (
   SELECT conv_id, turn, octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '') AS x,
-    CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS n
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS BIGINT) AS n
   FROM conversations WHERE conv_id IS NOT NULL),
 turns AS (SELECT conv_id, x, n, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(x)) - 1 AS place FROM said),
 convs AS (SELECT conv_id AS c, conv_id - conv_id % 20 AS first, {crc32_sql("(conv_id::VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM turns)),

@@ -39,17 +39,29 @@ def _minima(x: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (n - size)], x[n - size :]) if n > size else x
 
 
-def _later(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Whether an equal pair stands before; equal pairs count in the order they stand in."""
+def _later(words: w.Words, at: np.ndarray) -> np.ndarray:
+    """Whether the window of words at each place equals one that is listed before it.
+
+    Windows are sorted by 128 bits of hash; those that agree are compared word for word with the
+    first of them, and should any differ, all are sorted by their words instead.
+    """
+    first, second = (w.grams(x, WINDOW)[at] for x in (words.hash, words.second))
+    ids = w.exact_ids(words)
     order = np.argsort(first, kind="stable")
     a, b = first[order], second[order]
-    same_first = a[1:] == a[:-1]
-    if np.any(same_first & (b[1:] != b[:-1])):
+    if np.any((a[1:] == a[:-1]) & (b[1:] != b[:-1])):
         order = np.lexsort((np.arange(len(first)), second, first))
         a, b = first[order], second[order]
-        same_first = a[1:] == a[:-1]
+    new = np.ones(len(order), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    leader = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
     later = np.zeros(len(first), bool)
-    later[order[1:]] = same_first & (b[1:] == b[:-1])
+    later[order] = ~new
+    ours, theirs = at[order[~new]], at[leader[~new]]
+    if any(np.any(ids[ours + k] != ids[theirs + k]) for k in range(WINDOW)):
+        rows = ids[at[:, None] + np.arange(WINDOW)]
+        later[:] = True
+        later[np.unique(rows, axis=0, return_index=True)[1]] = False
     return later
 
 
@@ -85,7 +97,7 @@ def _packed(stream: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
                 continue
             owner = np.repeat(keys, windows)
             start = (at - np.repeat(words.bounds[:-1], windows)).astype(np.int32)
-            later = _later(w.grams(words.hash, WINDOW)[at], w.grams(words.second, WINDOW)[at])
+            later = _later(words, at)
             least = _minima(w.grams(words.hash, GRAM), WINDOW - GRAM + 1)[at]
             if later.any():
                 k, s, e = _spans(owner[later], start[later], start[later] + np.int32(WINDOW))
@@ -140,7 +152,7 @@ def _repeated(bucket: pa.Table) -> pa.Table:
         begins = (at - np.repeat(words.bounds[:-1], windows) + np.repeat(start, windows)).astype(np.int32)
         order = np.lexsort((begins, keys))
         keys, begins, at = keys[order], begins[order], at[order]
-        later = _later(w.grams(words.hash, WINDOW)[at], w.grams(words.second, WINDOW)[at])
+        later = _later(words, at)
         settled.append(_spans(keys[later], begins[later], begins[later] + np.int32(WINDOW)))
     columns = [np.concatenate(c) for c in zip(*settled, strict=True)] if settled else [[], [], []]
     return pa.table(

@@ -1,10 +1,12 @@
-"""Words of many texts at once as 64-bit hashes, with NumPy over the bytes of an Arrow array.
+"""Words of many texts at once as hashes of 64 or 128 bits, with NumPy over the bytes of an Arrow array.
 
 A word is a run of bytes other than space and 0x09-0x0D.
 """
 
 from __future__ import annotations
 
+import hashlib
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,10 +18,11 @@ IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
-# Odd multipliers of two independent polynomial hashes, and of the n-gram hash.
-FIRST, SECOND, GRAM = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
-HASHED_AT_ONCE = 1 << 19
-_POWERS: dict[int, np.ndarray] = {}
+# Odd multipliers of the n-gram hashes and of the second lane.
+GRAM, LANE = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
+LONG_WORD = 1024
+"""Longer words are hashed one by one."""
+BLOCK_MASK = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -30,13 +33,38 @@ def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: np.uint64, size: int) -> np.ndarray:
-    known = _POWERS.get(int(base))
-    if known is None or len(known) < size:
-        known = np.full(max(64, 1 << (size - 1).bit_length()), base)
-        known[0] = 1
-        _POWERS[int(base)] = known = np.multiply.accumulate(known)
-    return known
+def blocks_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as one integer; zeros follow the end."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def _block(blocks: np.ndarray, start: np.ndarray, size: np.ndarray, k: int) -> np.ndarray:
+    """Block k of words that have more than 8 k bytes, without the bytes behind the word."""
+    return blocks[start + 8 * k] & BLOCK_MASK[np.minimum(size - 8 * k, 8)]
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray, two: bool) -> list[np.ndarray | None]:
+    """Two lanes of hashes, each mixed anew after every eight bytes of a word.
+
+    The lanes take up a block in different ways, so that what makes one agree leaves the other apart.
+    """
+    one = mixed(size.astype(np.uint64))
+    lanes = [one, mixed(one, 1)] if two else [one]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[start[i] : start[i] + size[i]], digest_size=16).digest()
+        for lane, value in zip(lanes, struct.unpack("<QQ", digest), strict=False):
+            lane[i] = value
+    blocks, live, k = blocks_at(data), np.flatnonzero(size <= LONG_WORD), 0
+    while len(live):
+        block = _block(blocks, start[live], size[live], k)
+        lanes[0][live] = mixed(lanes[0][live] ^ block)
+        if two:
+            lanes[1][live] = mixed((lanes[1][live] + block) * LANE, 2)
+        k += 1
+        live = live[size[live] > 8 * k]
+    return lanes if two else [one, None]
 
 
 @dataclass
@@ -66,32 +94,45 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False, two: bo
     before[edges[edges < len(data)]] = False
     after[edges[edges > 0] - 1] = False
     start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-    size = end - start
-    longest = int(size.max()) if len(size) else 1
-    total = np.cumsum(size)
-    blocks = np.searchsorted(total, np.arange(0, total[-1] if len(size) else 0, HASHED_AT_ONCE), "right")
-    cuts = np.unique(np.append(blocks, len(size)))
-
-    def hashed(*bases: np.uint64) -> list[np.ndarray]:
-        """Block by block, as the letters of a word take eight bytes each while it is hashed."""
-        out = [np.zeros(len(size), np.uint64) for _ in bases]
-        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            some = slice(start[i], end[j - 1])
-            letters = data[some][inside[some]].astype(np.uint64) + np.uint64(1)
-            first = np.cumsum(size[i:j]) - size[i:j]
-            place = np.arange(len(letters)) - np.repeat(first, size[i:j])
-            for hashes, base in zip(out, bases, strict=True):
-                sums = np.add.reduceat(letters * _powers(base, longest)[place], first)
-                hashes[i:j] = mixed(sums + size[i:j].astype(np.uint64))
-        return out
-
-    bounds = np.searchsorted(start, offsets)
-    hashes = hashed(FIRST, SECOND) if two else [*hashed(FIRST), None]
-    return Words(data, bounds, start, end, *hashes)
+    return Words(data, np.searchsorted(start, offsets), start, end, *_hashes(data, start, end - start, two))
+
+
+def exact_ids(words: Words) -> np.ndarray:
+    """Numbers of the words that are equal if and only if the words' bytes are.
+
+    Words with equal hashes are compared byte by byte with the first of them.
+    """
+    n = len(words.hash)
+    order = np.lexsort((words.second, words.hash))
+    a, b = words.hash[order], words.second[order]
+    new = np.ones(n, bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    ids = np.empty(n, np.int64)
+    ids[order] = np.cumsum(new) - 1
+    first = order[new][ids]
+    size, blocks = words.end - words.start, blocks_at(words.data)
+    same, live, k = size == size[first], np.flatnonzero(first != np.arange(n)), 0
+    live = live[same[live]]
+    for i in live[size[live] > LONG_WORD].tolist():
+        one, other = (words.data[words.start[j] : words.end[j]] for j in (i, first[i]))
+        same[i] = np.array_equal(one, other)
+    live = live[size[live] <= LONG_WORD]
+    while len(live):
+        ours, theirs = (_block(blocks, words.start[x], size[x], k) for x in (live, first[live]))
+        same[live[ours != theirs]] = False
+        k += 1
+        live = live[(size[live] > 8 * k) & (ours == theirs)]
+    known: dict[bytes, int] = {}
+    for i in np.flatnonzero(~same).tolist():
+        ids[i] = known.setdefault(words.data[words.start[i] : words.end[i]].tobytes(), n + len(known))
+    return ids
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Hash of each n consecutive words, by doubling; runs over text ends, which callers mask out."""
+    """Hash of each n consecutive words, by doubling; runs over text ends, which callers mask out.
+
+    A polynomial, so for some dozens of words and not for long sequences.
+    """
     if len(hashes) < n:
         return np.zeros(0, np.uint64)
     power, out, done = GRAM, None, 0
