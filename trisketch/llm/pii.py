@@ -42,11 +42,11 @@ def _each(text: Column, change) -> Column:
     return F.array_join(F.transform(places, lambda i: change(i, F.substr(text, i, F.lit(1)))), "")
 
 
-def _moved(char: Column, by: Column, letters: Column) -> Column:
+def _moved(char: Column, by: Column) -> Column:
     """The character `by` places on within its own class: digits, or small or capital letters."""
     small, capital = char.between("a", "z"), char.between("A", "Z")
     first = F.when(small, ord("a")).when(capital, ord("A")).otherwise(ord("0"))
-    size = F.when(small | capital, letters).otherwise(10)
+    size = F.when(small | capital, 26).otherwise(10)
     return F.char(first + (F.ascii(char) - first + by) % size)
 
 
@@ -54,14 +54,11 @@ def permuted_text(value: Column, key: str, name: Column) -> Column:
     """Feistel permutation of the strings of letters and digits with the same class at each place.
 
     Each round adds a keyed digest of one half to the other half, place by place within the
-    class of the character. Hexadecimal strings stay hexadecimal.
+    class of the character. The classes are all that the format knows, and they stay, so no two
+    strings have one image.
     """
     half = F.floor(F.length(value) / 2).cast("int")
-    start = F.struct(
-        F.substr(value, F.lit(1), half).alias("a"),
-        F.substr(value, half + 1).alias("b"),
-        F.when(value.rlike("^(?:[0-9a-f]*|[0-9A-F]*)$"), 6).otherwise(26).alias("letters"),
-    )
+    start = F.struct(F.substr(value, F.lit(1), half).alias("a"), F.substr(value, half + 1).alias("b"))
 
     def turn(acc: Column, number: Column) -> Column:
         both = F.struct(acc["a"].alias("a"), _digest(key, name, number, acc["b"]).alias("digest"))
@@ -70,12 +67,10 @@ def permuted_text(value: Column, key: str, name: Column) -> Column:
             F.lit(""),
             lambda _, x: _each(
                 x["a"],
-                lambda i, c: F.when(
-                    c != "", _moved(c, _hex(F.substr(x["digest"], (i - 1) % 32 * 2 + 1, F.lit(2))), acc["letters"])
-                ),
+                lambda i, c: F.when(c != "", _moved(c, _hex(F.substr(x["digest"], (i - 1) % 32 * 2 + 1, F.lit(2))))),
             ),
         )
-        return F.struct(acc["b"].alias("a"), moved.alias("b"), acc["letters"].alias("letters"))
+        return F.struct(acc["b"].alias("a"), moved.alias("b"))
 
     return F.aggregate(_rounds(), start, turn, lambda acc: F.concat(acc["a"], acc["b"]))
 
