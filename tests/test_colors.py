@@ -81,6 +81,29 @@ def test_triplets(edges, colors, a, b):
     assert co.exact_by_triplets(edges, colors, a, b).first().triangles == len(TRIANGLES)
 
 
+@pytest.mark.parametrize("limit", [1, 60, 200, 10**6])
+def test_keys_of_bounded_size(edges, limit):
+    colors = min(6, co.colors_for(len(CLEAN), limit))
+    sizes = {r.triplet: r.n_edges for r in co.key_sizes(edges, colors, A, B).collect()}
+    assert sizes == {r.triplet: r.n_edges for r in co.edges_per_triplet(co.edge_color_triplets(edges, colors, A, B)).collect()}
+    split = co.oversized_keys(edges, colors, A, B, limit)
+    assert {r.triplet for r in split.collect()} == {k for k, n in sizes.items() if n > limit}
+    expected = {r.triplet: r.t for r in co.triangles_by_triplet(edges, colors, A, B).collect()}
+    assert {r.triplet: r.t for r in co.triangles_by_triplet_replicated(edges, colors, A, B, split).collect()} == expected
+
+
+@pytest.mark.parametrize("limit", [40, 10**6])
+def test_exact_count_by_keys(edges, edges_of, limit):
+    assert co.exact_by_keys(edges, A, B, limit).first().triangles == len(TRIANGLES)
+    assert co.exact_by_keys(edges_of([]), A, B, limit).first().triangles == 0
+
+
+def test_copies_are_exchanged_once(edges):
+    plan = co.triangles_by_triplet_replicated(edges, 4, A, B)._jdf.queryExecution().executedPlan().toString()
+    above_copies = plan[: plan.index("Generate explode(")]
+    assert above_copies.count("Exchange") == 1 and "Join" not in above_copies and "Window" in above_copies
+
+
 def test_every_edge_gets_one_key_per_color(edges):
     keyed = co.edge_color_triplets(edges, 4, A, B)
     rows = [tuple(r) for r in keyed.collect()]

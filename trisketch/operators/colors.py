@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trisketch.functions.hashing import EDGE_HASH, affine_hash, edge_hash, require_positive, run_table
+from trisketch.functions.hashing import EDGE_HASH, P, affine_hash, edge_hash, require_positive, run_table
 from trisketch.functions.medians import truncated_median
 from trisketch.operators.graph import orient, vertices
-from trisketch.operators.triangles import closed_triangles, triangle_list, triangles_by_group
+from trisketch.operators.triangles import triangle_list, triangles_by_group
+
+EDGES_PER_KEY = 4_000_000
+"""Edges of a key whose lists one task sorts and joins at a time."""
+BROADCAST_KEYS = 100_000
+SECOND_COLOR = (6151, 2909)
 
 # ---- node colours ----------------------------------------------------------
 
@@ -136,17 +142,22 @@ def _unpacked(base: int) -> list[Column]:
     ]
 
 
-def edge_color_triplets(
-    edges: DataFrame, colors: int, a: int, b: int, ends: tuple[str, str] = ("u", "v")
-) -> DataFrame:
-    """Every edge once per colour i under the sorted colours of (u, v, i), packed as one BIGINT."""
+def _copies(edges: DataFrame, colors: int, a: int, b: int, ends: tuple[str, str]) -> DataFrame:
+    """(triplet, third, edge...): every edge once per colour `third` that a triangle's third corner may have."""
     require_positive(colors=colors)
     hu, hv = (affine_hash(F.col(end), a, b, colors) for end in ends)
     copies = edges.select(
-        "*", hu.alias("hu"), hv.alias("hv"), F.explode(F.sequence(F.lit(0), F.lit(colors - 1))).alias("i")
+        "*", hu.alias("hu"), hv.alias("hv"), F.explode(F.sequence(F.lit(0), F.lit(colors - 1))).alias("third")
     )
-    key = _packed(F.col("hu"), F.col("hv"), F.col("i"), colors)
-    return copies.select(key.alias("triplet"), *edges.columns)
+    key = _packed(F.col("hu"), F.col("hv"), F.col("third"), colors)
+    return copies.select(key.alias("triplet"), "third", *edges.columns)
+
+
+def edge_color_triplets(
+    edges: DataFrame, colors: int, a: int, b: int, ends: tuple[str, str] = ("u", "v")
+) -> DataFrame:
+    """Every edge once per colour i under the sorted colours of (u, v, i), packed as one BIGINT."""
+    return _copies(edges, colors, a, b, ends).drop("third")
 
 
 def unpack_triplets(keyed: DataFrame, colors: int) -> DataFrame:
@@ -173,15 +184,81 @@ def triangles_by_triplet(edges: DataFrame, colors: int, a: int, b: int) -> DataF
     return keyed.groupBy("triplet").agg(F.count("*").alias("t"))
 
 
-def triangles_by_triplet_replicated(edges: DataFrame, colors: int, a: int, b: int) -> DataFrame:
-    """t_k from the replicated edges: enumerate inside every key, keep triangles whose sorted
-    colours equal the key. Same result as `triangles_by_triplet` at `colors` times the edges,
-    which are copied only after they have been oriented.
+def colors_for(n_edges: int, edges_per_key: int = EDGES_PER_KEY) -> int:
+    """Fewest colours with at most `edges_per_key` edges, on average, under three different colours.
+
+    Such a key holds the edges between three of the colours^2 / 2 pairs of colours.
+    """
+    require_positive(edges_per_key=edges_per_key)
+    return min(P, max(1, math.isqrt(6 * n_edges // edges_per_key) + 1))
+
+
+def key_sizes(edges: DataFrame, colors: int, a: int, b: int) -> DataFrame:
+    """(triplet, n_edges) as `edges_per_triplet` counts them, without a copy: from counts by pair of colours."""
+    require_positive(colors=colors)
+    hu, hv = (affine_hash(F.col(end), a, b, colors) for end in ("u", "v"))
+    pairs = edges.groupBy(F.least(hu, hv).alias("x"), F.greatest(hu, hv).alias("y")).agg(F.count("*").alias("n"))
+    thirds = pairs.select("x", "y", "n", F.explode(F.sequence(F.lit(0), F.lit(colors - 1))).alias("z"))
+    key = _packed(F.col("x"), F.col("y"), F.col("z"), colors)
+    return thirds.groupBy(key.alias("triplet")).agg(F.sum("n").alias("n_edges"))
+
+
+def oversized_keys(edges: DataFrame, colors: int, a: int, b: int, edges_per_key: int = EDGES_PER_KEY) -> DataFrame:
+    """(triplet, splits) of the keys with more edges: second colours that bring each part below the limit."""
+    sizes = key_sizes(edges, colors, a, b).where(F.col("n_edges") > edges_per_key)
+    splits = F.ceil(F.sqrt(6 * F.col("n_edges") / edges_per_key))
+    return sizes.select("triplet", F.least(splits, F.lit(P)).cast("int").alias("splits"))
+
+
+def triangles_by_triplet_replicated(
+    edges: DataFrame, colors: int, a: int, b: int, oversized: DataFrame | None = None
+) -> DataFrame:
+    """t_k from copied edges: enumerate inside every key, keep triangles whose sorted colours equal it.
+
+    Copies are shuffled once, by key. Inside that distribution every vertex of a key sends the rest
+    of its neighbour list along each edge, lists meet the receiver's own by a window, and found
+    corners count if they have the colour that the edge was copied for. Keys in `oversized`
+    (triplet, splits) are dealt once more by a second colour of the three corners.
+    """
+    copies = _copies(orient(edges), colors, a, b, ("src", "dst")).where("triplet IS NOT NULL")
+    by = ["triplet"]
+    if oversized is not None:
+        second = lambda v: affine_hash(v, *SECOND_COLOR, F.col("splits"))
+        copies = copies.join(oversized, "triplet", "left").withColumn("splits", F.coalesce("splits", F.lit(1)))
+        copies = copies.withColumn("other", F.explode(F.expr("sequence(0, splits - 1)")))
+        part = _packed(second(F.col("src")), second(F.col("dst")), F.col("other"), P)
+        copies, by = copies.withColumn("part", part), ["triplet", "part", "splits"]
+    else:
+        copies = copies.withColumn("other", F.lit(0))
+    neighbour = F.struct(F.col("dst_deg").alias("deg"), F.col("dst").alias("id"), "third", "other")
+    adj = copies.repartition(*by[:2]).groupBy(*by, "src").agg(F.sort_array(F.collect_list(neighbour)).alias("nbrs"))
+    lists = adj.selectExpr(
+        *by,
+        """inline(concat(
+          array(struct(src AS mid, nbrs.id AS own, CAST(null AS array<bigint>) AS above, 0 AS third, 0 AS other)),
+          transform(slice(nbrs, 1, size(nbrs) - 1), (x, i) -> struct(
+            x.id AS mid, CAST(null AS array<bigint>) AS own, slice(nbrs.id, i + 2, size(nbrs)) AS above, x.third AS third, x.other AS other))))""",
+    )
+    own = F.first("own", ignorenulls=True).over(Window.partitionBy(*by, "mid"))
+    met = lists.withColumn("own", own).where("above IS NOT NULL AND own IS NOT NULL")
+    right = lambda far: affine_hash(far, a, b, colors) == F.col("third")
+    if oversized is not None:
+        first, right = right, lambda far: first(far) & (affine_hash(far, *SECOND_COLOR, F.col("splits")) == F.col("other"))
+    closing = F.filter(F.array_intersect("above", "own"), right)
+    return met.groupBy("triplet").agg(F.sum(F.size(closing).cast("bigint")).alias("t")).where("t > 0")
+
+
+def exact_by_keys(edges: DataFrame, a: int, b: int, edges_per_key: int = EDGES_PER_KEY) -> DataFrame:
+    """Exact count over keys of a bounded number of edges, one row.
+
+    The edges are counted first, which gives the colours, and then the keys that are still larger:
+    two small jobs before the plan. Larger keys are broadcast up to BROADCAST_KEYS of them.
     """
-    copies = edge_color_triplets(orient(edges), colors, a, b, ends=("src", "dst"))
-    found = closed_triangles(copies.where("triplet IS NOT NULL"), ["triplet"])
-    matching = found.where(F.col("triplet") == _corner_triplet(colors, a, b))
-    return matching.groupBy("triplet").agg(F.count("*").alias("t"))
+    colors = colors_for(edges.count(), edges_per_key)
+    oversized = oversized_keys(edges, colors, a, b, edges_per_key)
+    n = oversized.count()
+    split = None if n == 0 else F.broadcast(oversized) if n <= BROADCAST_KEYS else oversized
+    return exact_total(triangles_by_triplet_replicated(edges, colors, a, b, split))
 
 
 def exact_total(counts: DataFrame) -> DataFrame:

@@ -258,6 +258,16 @@ register(
     f"""WITH {PARTS}, {REPLICATED}, {grouped_triangles('k')}
 {triplet_counts(f"(SELECT k FROM tri WHERE k = {CORNER_KEY})", "t")}""",
 )
+register(
+    "triplet_key_sizes",
+    lambda s, d: co.unpack_triplets(co.key_sizes(part_edges(s, d), COLORS, A, B), COLORS),
+    f"WITH {PARTS}, {REPLICATED} {triplet_counts('g', 'n_edges')}",
+)
+register(
+    "triangle_count_by_keys",
+    lambda s, d: co.exact_by_keys(part_edges(s, d), A, B),
+    f"WITH {PARTS}, {TRIANGLES} SELECT count(*) AS triangles FROM tri",
+)
 register(
     "triangle_count_color_exact",
     lambda s, d: co.exact_by_triplets(part_edges(s, d), COLORS, A, B),
