@@ -65,7 +65,6 @@ def test_sketch_estimates_and_moments(in_range, freq, rows):
     built = sk.count_sketch(in_range, rows, WIDTH)
     assert cells(built) == expected
     assert cells(sk.count_sketch_of_frequencies(freq, rows, WIDTH)) == expected
-    assert cells(sk.count_sketch_in_one_step(in_range, rows, WIDTH)) == expected
     got = {r.item: (r.f, r.f_est) for r in sk.estimate_frequencies(freq, built, rows, WIDTH).collect()}
     assert got == {i: (f, estimate(i, expected, rows, WIDTH)) for i, f in FREQ.items()}
     squares = [sum(v * v for (j, _), v in expected.items() if j == row) for row in range(len(rows))]

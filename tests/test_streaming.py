@@ -5,11 +5,12 @@ import pytest
 from brute import sketch
 from pyspark.sql import functions as F
 
-from trisketch.functions.hashing import ROWS
+from trisketch.functions.hashing import ROWS, P
 from trisketch.plans import stream_queries as sq
 from trisketch.session import shared_folder
 from trisketch.sources.items import batch_bounds, parse_items
 from trisketch.streaming import ledger as lg
+from trisketch.streaming import progress as pg
 from trisketch.streaming import sources as ss
 from trisketch.streaming import state as st
 
@@ -60,15 +61,23 @@ def test_state_spans_micro_batches_and_survives_restarts(spark, folder):
         assert got == expected_freq(batches[: number + 1]) and outside + sum(got.values()) == 60 * (number + 1)
 
 
-def test_sketch_state_equals_the_batch_sketch(spark, folder):
+def test_sketch_of_state_equals_the_batch_sketch(spark, folder):
     batches = landings(3, 50, seed=2)
     for batch in batches:
         land(spark, batch, folder("in"))
-        run(st.sketch_state(items(spark, folder("in")), ROWS, WIDTH, LEFT, RIGHT), folder("ckpt"))
-    got = {(r.j, r.c): r.val for r in st.current_state(spark, folder("ckpt"), "val").collect()}
+        run(st.residue_state(items(spark, folder("in")), LEFT, RIGHT), folder("ckpt"))
+    counts = st.current_state(spark, folder("ckpt"), "f")
+    got = {(r.j, r.c): r.val for r in st.sketch_of_state(counts, ROWS, WIDTH).collect()}
     assert got == sketch(expected_freq(batches), ROWS, WIDTH)
 
 
+def test_a_batch_updates_a_key_per_residue(spark, folder):
+    land(spark, [3, 3 + P, 3 - P, 4, 4, 10**6], folder("in"))
+    query = run(st.residue_state(items(spark, folder("in")), -(10**5), 10**5), folder("ckpt"))
+    assert query.lastProgress["stateOperators"][0]["numRowsUpdated"] == 2
+    assert read_freq(spark, folder("ckpt")) == {3: 3, 4: 2}
+
+
 def test_what_is_read_does_not_grow_with_the_number_of_batches(spark, folder):
     sizes = []
     for _ in range(4):
@@ -164,5 +173,62 @@ def test_state_queries_on_a_folder_table(spark, folder, name):
     assert many == one and sum(one.values()) > 0
 
 
+def test_a_timed_run_reports_its_batches(spark, folder):
+    batches = landings(3, 20, seed=6)
+    for batch in batches:
+        land(spark, batch, folder("in"))
+    lines = pg.counted(ss.text_lines(spark, folder("in"), files_per_batch=1))
+    state = st.frequency_state(parse_items(lines), LEFT, RIGHT)
+    seen = pg.run_until(spark, lambda: st.start_updates(state, folder("ckpt")), 60)
+    rows = pg.batch_times(spark, seen).collect()
+    assert [r.batch_id for r in rows] == list(range(len(rows))) and sum(r.n for r in rows) == 60 and len(rows) >= 3
+    assert all(r.milliseconds > 0 for r in rows) and sorted(r.started for r in rows) == [r.started for r in rows]
+
+
+def test_a_failing_timed_run_raises(spark, folder):
+    spark.createDataFrame([("x",)], "value string").write.text(folder("in"))
+    state = st.frequency_state(parse_items(pg.counted(ss.text_lines(spark, folder("in")))), LEFT, RIGHT)
+    with pytest.raises(Exception, match="x"):
+        pg.run_until(spark, lambda: st.start_updates(state, folder("ckpt")), 5)
+
+
+def spans(path):
+    return sorted(p.name for p in (path / "spans").iterdir())
+
+
+def test_spans_are_merged(spark, folder, tmp_path):
+    batches = landings(5, 10, seed=7)
+    for number, batch in enumerate(batches):
+        land(spark, batch, folder("in"))
+        lg.start_ledger(items(spark, folder("in")), folder("out"), folder("ckpt"), LEFT, RIGHT, 1000, ONCE, fan=2).wait()
+        assert [tuple(r) for r in lg.ledger(spark, folder("out")).orderBy("batch_id").collect()] == [(i, 10, 10 * i) for i in range(number + 1)]
+    assert spans(tmp_path / "out") == [lg._name(0, 3), lg._name(4, 4)]
+    counts = {(r.batch_id, r.item): r.f for r in lg.folded_counts(spark, folder("out")).where("item IS NOT NULL").collect()}
+    assert counts == {(i, v): c for i in range(5) for v, c in expected_freq([batches[i]]).items()}
+
+
+@pytest.mark.parametrize("crash", ["before the merged span is valid", "before parts are removed"])
+def test_a_crash_while_merging_loses_and_doubles_nothing(spark, folder, tmp_path, monkeypatch, crash):
+    one_file = lambda: parse_items(ss.text_lines(spark, folder("in"), files_per_batch=1))
+    for batch in landings(2, 10, seed=8):
+        land(spark, batch, folder("in"))
+    lg.start_ledger(one_file(), folder("out"), folder("ckpt"), LEFT, RIGHT, 1000, ONCE, fan=100).wait()
+    before = sorted(map(tuple, lg.folded_counts(spark, folder("out")).collect()), key=str)
+    n = len(spans(tmp_path / "out"))
+
+    def fail(*_):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(lg, "write_small" if "valid" in crash else "remove_folder", fail)
+        with pytest.raises(RuntimeError):
+            lg.merge_spans(spark, folder("out"), 0, n - 1)
+    for _ in range(2):
+        assert sorted(map(tuple, lg.folded_counts(spark, folder("out")).collect()), key=str) == before
+        assert lg.ledger(spark, folder("out")).agg(F.sum("n")).first()[0] == 20
+        lg.merge_spans(spark, folder("out"), 0, n - 1)
+    assert spans(tmp_path / "out") == [lg._name(0, n - 1)]
+
+
 def test_the_shared_folder_is_new_each_time(spark):
     assert shared_folder(spark, "x") != shared_folder(spark, "x")

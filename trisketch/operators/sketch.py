@@ -29,7 +29,7 @@ def cell_updates(items: DataFrame, rows: Rows, width: int) -> DataFrame:
     )
 
 
-def _residue() -> Column:
+def residue() -> Column:
     return F.pmod(F.col("item"), F.lit(P).cast("bigint")).alias("item")
 
 
@@ -46,22 +46,16 @@ def count_sketch(items: DataFrame, rows: Rows, width: int, by: Sequence[str] = (
     map-side counters per task however many distinct items there are, and only those fan
     out over the sketch rows.
     """
-    residues = items.select(*by, _residue()).groupBy(*by, "item").agg(F.count("*").alias("f"))
+    residues = items.select(*by, residue()).groupBy(*by, "item").agg(F.count("*").alias("f"))
     return _fold(residues, rows, width, by)
 
 
 def count_sketch_of_frequencies(freq: DataFrame, rows: Rows, width: int) -> DataFrame:
     """The same sketch from a frequency table, where that is needed anyway: no second scan."""
-    residues = freq.select(_residue(), "f").groupBy("item").agg(F.sum("f").alias("f"))
+    residues = freq.select(residue(), "f").groupBy("item").agg(F.sum("f").alias("f"))
     return _fold(residues, rows, width, ())
 
 
-def count_sketch_in_one_step(items: DataFrame, rows: Rows, width: int) -> DataFrame:
-    """The same sketch by a single aggregate, as a stateful streaming query needs it."""
-    updates = cell_updates(items, rows, width).where("c IS NOT NULL AND j IS NOT NULL")
-    return updates.groupBy("j", "c").agg(F.sum(F.col("s").cast("bigint")).alias("val"))
-
-
 def merge_sketches(sketches: DataFrame) -> DataFrame:
     """Sketches add cell by cell."""
     return sketches.groupBy("j", "c").agg(F.sum("val").alias("val"))

@@ -6,7 +6,7 @@ Stream 2 (`_parts`): lineitem.l_partkey.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +19,15 @@ from trisketch.plans import reports as rp
 from trisketch.session import remove_folder, shared_folder
 from trisketch.sources import items as src
 from trisketch.streaming import ledger as lg
+from trisketch.streaming import line_log as ll
+from trisketch.streaming import progress as pg
 from trisketch.streaming import sources as ss
 from trisketch.streaming import state as st
 
 BATCHES = 10
 STOP_PERCENT = 55
 STATE_BATCHES = 4
+TIMED_BATCHES = 12
 ONCE = {"availableNow": True}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,7 +237,13 @@ for suffix, S in (("", USERS), ("_parts", PARTS), ("_all_parts", ALL_PARTS)):
 # ---- stream 1 only ---------------------------------------------------------
 
 IN_RANGE = f"user_id BETWEEN {USERS.left} AND {USERS.right}"
-BATCH_ID = f"event_id * (SELECT least({BATCHES}, count(*)) FROM events) // (SELECT count(*) FROM events)"
+
+
+def batch_id(batches: int) -> str:
+    return f"event_id * (SELECT least({batches}, count(*)) FROM events) // (SELECT count(*) FROM events)"
+
+
+BATCH_ID = batch_id(BATCHES)
 EVEN = USERS.ctes(depth=4)
 
 register(
@@ -308,62 +317,70 @@ register(
 # ---- Structured Streaming --------------------------------------------------
 
 
-def landings(spark: SparkSession, sf: str, path: str, batches: int = BATCHES) -> Iterator[int]:
-    """Land the events in order, a range of event ids at a time; what follows handles each landing."""
-    rows = USERS.read(spark, sf).count()
-    for number, (low, high) in enumerate(src.batch_bounds(rows, batches)):
-        ss.land(lines(spark, sf).where((F.col("event_id") >= low) & (F.col("event_id") < high)), path)
-        yield number
+def land_events(spark: SparkSession, sf: str, batches: int) -> str:
+    """The events' lines as a log with a landing for each range of event ids."""
+    log, rows = shared_folder(spark, "log"), USERS.read(spark, sf)
+    landing = src.equal_batches(rows, "event_id", batches).alias("landing")
+    ll.write_log(rows.select(F.col(USERS.column).cast("string").alias("value"), landing), log, "landing")
+    return log
+
 
+def logged(spark: SparkSession, sf: str, batches: int) -> DataFrame:
+    """The events as a stream of log lines: one landing is one micro-batch, whatever its files are."""
+    log, offered = land_events(spark, sf, batches), f"{shared_folder(spark, 'offered')}/offset.json"
+    return pg.counted(ll.log_lines(spark, log, 1, offered))
 
-def drained(spark: SparkSession, state: DataFrame, checkpoint: str) -> None:
-    """Run a stateful query over everything available, from where its checkpoint stands."""
-    st.start_updates(state, checkpoint, ONCE).awaitTermination()
 
+def timed_run(spark: SparkSession, sf: str, state: DataFrame) -> tuple[str, list[pg.Batch]]:
+    """One query under a timed trigger until it has read all events; its checkpoint and its batches."""
+    checkpoint = shared_folder(spark, "checkpoint")
+    return checkpoint, pg.run_until(spark, lambda: st.start_updates(state, checkpoint), USERS.read(spark, sf).count())
 
-def state_over_landings(spark: SparkSession, sf: str, state_of: Callable[[DataFrame], DataFrame], value: str) -> DataFrame:
-    """The state after several micro-batches, the query restarted for each."""
-    landed, checkpoint = shared_folder(spark, "landed"), shared_folder(spark, "checkpoint")
-    for _ in landings(spark, sf, landed, STATE_BATCHES):
-        drained(spark, state_of(src.parse_items(ss.text_lines(spark, landed))), checkpoint)
-    remove_folder(spark, landed)
-    return st.current_state(spark, checkpoint, value)
+
+def state_over_files(spark: SparkSession, sf: str, state_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The state after several timed micro-batches of one query, each with its share of the landed files."""
+    log = land_events(spark, sf, STATE_BATCHES)
+    files = len(spark.read.option("recursiveFileLookup", "true").text(log).inputFiles())
+    lines = pg.counted(ss.text_lines(spark, log, files_per_batch=max(1, files // STATE_BATCHES)))
+    checkpoint, _ = timed_run(spark, sf, state_of(src.parse_items(lines)))
+    remove_folder(spark, log)
+    return st.current_state(spark, checkpoint, "f")
 
 
 def stream_frequency(spark: SparkSession, sf: str) -> DataFrame:
-    return state_over_landings(spark, sf, lambda items: st.frequency_state(items, USERS.left, USERS.right), "f")
+    return state_over_files(spark, sf, lambda items: st.frequency_state(items, USERS.left, USERS.right))
 
 
 def stream_sketch(spark: SparkSession, sf: str) -> DataFrame:
-    def state_of(items: DataFrame) -> DataFrame:
-        return st.sketch_state(items, ROWS, USERS.width, USERS.left, USERS.right)
+    counts = state_over_files(spark, sf, lambda items: st.residue_state(items, USERS.left, USERS.right))
+    return st.sketch_of_state(counts, ROWS, USERS.width)
+
 
-    return state_over_landings(spark, sf, state_of, "val")
+def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of a timed run with the number of their lines, from the metrics that the run reports."""
+    items = src.parse_items(logged(spark, sf, TIMED_BATCHES))
+    _, batches = timed_run(spark, sf, st.frequency_state(items, USERS.left, USERS.right))
+    return pg.batch_times(spark, batches).select("batch_id", "n")
 
 
 def report_from_state(spark: SparkSession, sf: str) -> DataFrame:
     """One query over the table's column; length, frequencies and sketch all come from its state."""
     items = src.parse_items(ss.column_lines(spark, f"{sf}/{USERS.table}.parquet", USERS.column))
     checkpoint = shared_folder(spark, "checkpoint")
-    drained(spark, st.frequency_state(items, USERS.left, USERS.right), checkpoint)
+    st.start_updates(st.frequency_state(items, USERS.left, USERS.right), checkpoint, ONCE).awaitTermination()
     counts = st.current_state(spark, checkpoint, "f")
     freq = counts.where("item IS NOT NULL")
     return USERS.report(counts.agg(F.sum("f").alias("n_items")), freq, USERS.folded_sketch(freq))
 
 
 def ledger_run(spark: SparkSession, sf: str) -> str:
-    """Land the ten batches in order, each a micro-batch of one query, until the threshold."""
-    landed, path = shared_folder(spark, "landed"), shared_folder(spark, "ledger")
-    checkpoint = shared_folder(spark, "checkpoint")
+    """One query under a timed trigger over ten landings, each a micro-batch, until the threshold."""
+    path, checkpoint = shared_folder(spark, "ledger"), shared_folder(spark, "checkpoint")
     threshold = stop_after(spark, sf).first()["threshold"]
-    for _ in landings(spark, sf, landed):
-        items = src.parse_items(ss.text_lines(spark, landed))
-        run = lg.start_ledger(items, path, checkpoint, USERS.left, USERS.right, threshold, ONCE)
-        run.wait()
-        if run.reached.is_set():
-            break
-    for folder in (landed, checkpoint):
-        remove_folder(spark, folder)
+    if threshold:
+        items = src.parse_items(logged(spark, sf, BATCHES))
+        lg.start_ledger(items, path, checkpoint, USERS.left, USERS.right, threshold).wait()
+        remove_folder(spark, checkpoint)
     return path
 
 
@@ -388,6 +405,11 @@ register(
     f"WITH {USERS.ctes()} SELECT item, f FROM freq",
 )
 register("stream_count_sketch", stream_sketch, f"WITH {USERS.ctes()} SELECT j, c, val FROM sketch")
+register(
+    "stream_batch_progress",
+    stream_progress,
+    f"SELECT {batch_id(TIMED_BATCHES)} AS batch_id, count(*) AS n FROM events GROUP BY ALL",
+)
 register("stream_report_from_state", report_from_state, USERS.report_sql())
 register(
     "stream_batch_ledger",

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+STATE_CHANGES = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+"""A batch then commits what it changed, and not the whole store."""
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -23,6 +25,7 @@ def local_session(cpus: int, memory: str = "8g") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config(STATE_STORE, ROCKSDB)
+        .config(STATE_CHANGES, "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -60,7 +63,34 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _store(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole: a reader sees the text or no file of that name."""
+    store, target = _store(spark, path)
+    started = target.suffix(".new")
+    out = store.create(started, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    store.delete(target, False)
+    store.rename(started, target)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it does not exist."""
+    store, target = _store(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(target)) if store.exists(target) else []
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, target = _store(spark, path)
+    return store.exists(target)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove an intermediate folder that no frame reads any more."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    store, target = _store(spark, path)
+    store.delete(target, True)

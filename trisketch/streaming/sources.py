@@ -20,8 +20,8 @@ def kafka_lines(spark: SparkSession, servers: str, topic: str, **options: str) -
 
 
 def text_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Lines of text files as they land in a folder; without a limit a batch takes all new files."""
-    stream = spark.readStream
+    """Lines of text files as they land in a folder or below; without a limit a batch takes all new files."""
+    stream = spark.readStream.schema("value string").option("recursiveFileLookup", "true")
     if files_per_batch:
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
     return stream.text(path)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trisketch.operators.frequency import frequencies, items_in_range
-from trisketch.operators.sketch import Rows, count_sketch_in_one_step
+from trisketch.operators.sketch import Rows, count_sketch_of_frequencies, residue
 
 
 def tag_in_range(items: DataFrame, left: int, right: int) -> DataFrame:
@@ -24,9 +24,18 @@ def frequency_state(items: DataFrame, left: int, right: int) -> DataFrame:
     return frequencies(tag_in_range(items, left, right))
 
 
-def sketch_state(items: DataFrame, rows: Rows, width: int, left: int, right: int) -> DataFrame:
-    """(j, c, val) over the whole stream, from raw items: at most depth * width keys of state."""
-    return count_sketch_in_one_step(items_in_range(items, left, right), rows, width)
+def residue_state(items: DataFrame, left: int, right: int) -> DataFrame:
+    """(item, f) over the whole stream with items reduced mod p, all that a sketch's hashes see of them.
+
+    The first of two levels: a task counts its lines by residue, and a batch updates at most as many
+    keys as it has lines, and never more than p, for any depth and width of a sketch.
+    """
+    return items_in_range(items, left, right).select(residue()).groupBy("item").agg(F.count("*").alias("f"))
+
+
+def sketch_of_state(counts: DataFrame, rows: Rows, width: int) -> DataFrame:
+    """(j, c, val): the second level, from the counts by residue; one state serves any sketch."""
+    return count_sketch_of_frequencies(counts, rows, width)
 
 
 def start_updates(state: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
