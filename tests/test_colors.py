@@ -68,6 +68,19 @@ def test_partitions(edges, split):
     assert {r.part: r.n_edges for r in co.edge_partition_sizes(parted).collect()} == Counter(p for p, _, _ in rows)
 
 
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_even_parts(edges, edges_of, parts):
+    written = co.write_even_parts(edges, parts, seed=9)
+    rows = sorted(tuple(r) for r in written.collect())
+    assert {(u, v) for _, u, v in rows} == CLEAN and len(rows) == len(CLEAN)
+    sizes = Counter(p for p, _, _ in rows)
+    assert set(sizes) == set(range(parts)) and max(sizes.values()) - min(sizes.values()) <= 1
+    assert rows == sorted(tuple(r) for r in co.write_even_parts(edges.repartition(5), parts, seed=9).collect())
+    if parts == 1:
+        assert co.approx_by_partition(written, 1).first().estimate == len(TRIANGLES)
+        assert co.write_even_parts(edges_of([]), 1, seed=9).count() == 0
+
+
 @pytest.mark.parametrize("colors", [1, 2, 5])
 @pytest.mark.parametrize("a,b", RUNS[:2])
 def test_triplets(edges, colors, a, b):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trisketch.functions.hashing import ROWS, draw_rows
 from trisketch.operators import frequency as fr
+from trisketch.operators import packed_sketch as ps
 from trisketch.operators import sketch as sk
 from trisketch.plans.stream_queries import ALL_PARTS
 from trisketch.plans import reports as rp
@@ -174,3 +175,29 @@ def test_parameters_are_validated(in_range, freq):
     ):
         with pytest.raises(ValueError):
             bad()
+
+
+@pytest.mark.parametrize("rows", [ROWS, ROWS[:1]])
+@pytest.mark.parametrize("tasks,fan", [(1, 2), (7, 2), (7, 32)])
+def test_packed_sketches_merge(spark, rows, tasks, fan, monkeypatch):
+    monkeypatch.setattr(ps, "HELD", 2)
+    values = [(i % 5 if i % 11 else None, i * i % 400 - 200 if i % 7 else None) for i in range(500)]
+    items = spark.createDataFrame(values, "batch bigint, item bigint").repartition(tasks)
+    packed = ps.packed_sketch(items, rows, WIDTH, "batch")
+    freq = Counter(v for b, v in values if b is not None and v is not None)
+    expected = sketch(freq, rows, WIDTH)
+    got = {(r.j, r.c): r.val for r in ps.unpacked(ps.merge_packed(packed, len(rows), WIDTH, fan), WIDTH).collect()}
+    assert len(got) == len(rows) * WIDTH and {k: v for k, v in got.items() if v} == {k: v for k, v in expected.items() if v}
+
+
+def test_no_packed_sketch_gives_zeros(spark):
+    none = ps.packed_sketch(spark.createDataFrame([], "batch bigint, item bigint"), ROWS, WIDTH, "batch")
+    assert none.count() == 0
+    assert [r.val for r in ps.unpacked(ps.merge_packed(none, len(ROWS), WIDTH), WIDTH).collect()] == [0] * len(ROWS) * WIDTH
+
+
+def test_merging_shuffles_arrays_and_not_cells(spark):
+    items = spark.range(0, 1000, 1, 64).selectExpr("id % 8 AS batch", "id AS item")
+    merged = ps.merge_packed(ps.packed_sketch(items, ROWS, WIDTH, "batch"), len(ROWS), WIDTH)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and "HashAggregate" not in plan

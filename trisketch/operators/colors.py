@@ -12,6 +12,7 @@ from trisketch.functions.hashing import EDGE_HASH, P, affine_hash, edge_hash, re
 from trisketch.functions.medians import truncated_median
 from trisketch.operators.graph import orient, vertices
 from trisketch.operators.triangles import triangle_list, triangles_by_group
+from trisketch.session import materialize, shared_folder
 
 EDGES_PER_KEY = 4_000_000
 """Edges of a key whose lists one task sorts and joins at a time."""
@@ -108,6 +109,29 @@ def partition_edges_randomly(edges: DataFrame, partitions: int, seed: int) -> Da
     return edges.select(part.alias("part"), "u", "v")
 
 
+def write_even_parts(edges: DataFrame, partitions: int, seed: int) -> DataFrame:
+    """(part, u, v) of `partitions` written parts whose sizes differ by one edge at most.
+
+    Edges are sorted by a seeded digest over all tasks and dealt in turn; a row for each task says
+    how many edges precede it. The order is written before numbers are taken from it, and a part is
+    a folder, so neither a lost task nor a second run changes what an edge belongs to.
+    """
+    require_positive(partitions=partitions)
+    order = ["digest", "u", "v"]
+    digest = F.md5(F.concat_ws(",", F.lit(seed).cast("string"), "u", "v"))
+    ordered = edges.where("u IS NOT NULL AND v IS NOT NULL").select(digest.alias("digest"), "u", "v")
+    ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = materialize(ordered.select("u", "v", F.monotonically_increasing_id().alias("at")), "ordered-edges")
+    ordered = ordered.withColumn("task", F.shiftright("at", 33))
+    sizes = ordered.groupBy("task").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = "coalesce(sum(n) OVER (ORDER BY task ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    shifts = F.broadcast(sizes.select("task", F.expr(f"{before} - first").alias("shift")))  # a row per task
+    part = F.pmod(F.col("at") + F.col("shift"), F.lit(partitions)).cast("int")
+    path = shared_folder(edges.sparkSession, "edge-parts")
+    ordered.join(shifts, "task").select("u", "v", part.alias("part")).write.partitionBy("part").parquet(path)
+    return edges.sparkSession.read.schema("u bigint, v bigint, part int").parquet(path).select("part", "u", "v")
+
+
 def edge_partition_sizes(parted: DataFrame) -> DataFrame:
     return parted.groupBy("part").agg(F.count("*").alias("n_edges"))
 

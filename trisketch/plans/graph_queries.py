@@ -238,6 +238,19 @@ register(
     f"WITH {PARTS}, {SHUFFLED}, {grouped_triangles('part')} SELECT {COLORS * COLORS} * count(*) AS estimate FROM tri",
 )
 
+EVEN = f"""g AS (SELECT u, v,
+  CAST((row_number() OVER (ORDER BY md5('{SEED},' || u || ',' || v), u, v) - 1) % {COLORS} AS INTEGER) AS part FROM e)"""
+register(
+    "edge_partition_sizes_even",
+    lambda s, d: co.edge_partition_sizes(co.write_even_parts(part_edges(s, d), COLORS, SEED)),
+    f"WITH {PARTS}, {EVEN} SELECT part, count(*) AS n_edges FROM g GROUP BY part",
+)
+register(
+    "triangle_approx_even_partition",
+    lambda s, d: co.approx_by_partition(co.write_even_parts(part_edges(s, d), COLORS, SEED), COLORS),
+    f"WITH {PARTS}, {EVEN}, {grouped_triangles('part')} SELECT {COLORS * COLORS} * count(*) AS estimate FROM tri",
+)
+
 # ---- colour triplets -------------------------------------------------------
 
 register(

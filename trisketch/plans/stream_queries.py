@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from trisketch.functions.hashing import ROWS
 from trisketch.operators import frequency as fr
+from trisketch.operators import packed_sketch as ps
 from trisketch.operators import sketch as sk
 from trisketch.plans import reports as rp
 from trisketch.session import remove_folder, shared_folder
@@ -280,6 +281,16 @@ register(
     lambda s, d: sk.merge_sketches(sk.count_sketch(batched_in_range(s, d), ROWS, USERS.width, by=["batch_id"])),
     f"WITH {USERS.ctes()} SELECT j, c, val FROM sketch",
 )
+register(
+    "count_sketch_packed_merge",
+    lambda s, d: ps.unpacked(
+        ps.merge_packed(ps.packed_sketch(batched_in_range(s, d), ROWS, USERS.width, "batch_id"), len(ROWS), USERS.width),
+        USERS.width,
+    ),
+    f"""WITH {USERS.ctes()}
+SELECT CAST(a.j AS INTEGER) AS j, CAST(b.c AS INTEGER) AS c, coalesce(val, 0) AS val
+FROM range({len(ROWS)}) a(j) CROSS JOIN range({USERS.width}) b(c) LEFT JOIN sketch k ON k.j = a.j AND k.c = b.c""",
+)
 register(
     "heavy_hitter_lines",
     lambda s, d: USERS.heavy(s, d).orderBy(F.col("f").desc(), "item"),
