@@ -4,6 +4,10 @@ The minimiser of a window of 20 words is the smallest hash among its 4-word gram
 windows with one minimiser travel as one packed string to the bucket of that minimiser, so equal
 windows meet although no window is sent by itself; there, sorting finds all but the first.
 
+A minimiser that very many windows share, such as that of a phrase in all texts, would fill one bucket.
+So windows are counted by minimiser first, and those of a hot one travel one by one to buckets of
+their own hash.
+
 A task sends a window once, however often it occurs in the texts at hand: the repetitions among
 them are settled on the spot. A passage that is in a third of all texts is thus as many packed
 strings as there are runs of texts, not as there are texts.
@@ -12,6 +16,7 @@ strings as there are runs of texts, not as there are texts.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +33,11 @@ RUN_BYTES = 4 << 20
 """Bytes of text that a task hashes at once, and that a bucket holds on average."""
 BROADCAST_ROWS, BROADCAST_SPANS = 500_000, 4_000_000
 """Up to so many documents with so many spans (8 bytes each) in all, counted before, are broadcast."""
+SLOTS = 4
+"""Slots of minimisers in a bucket."""
+HOT_WINDOWS = 1_000_000
+"""Windows of one slot, before repetitions are settled, from which each travels by itself: 28 bytes, for
+some 24 bytes of text in a packed string."""
 SENT = "bucket int, keys binary, starts binary, sizes binary, text binary"
 
 
@@ -80,8 +90,45 @@ def _spans(keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     return keys[begin], starts[begin], ends[last]
 
 
-def _packed(stream: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    press = zstandard.ZstdCompressor(level=1)
+def _slots(least: np.ndarray, slots: int) -> np.ndarray:
+    return (w.mixed(least, 7) % np.uint64(slots)).astype(np.int64)
+
+
+def _loads(stream: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
+    """Windows by the slot of their minimiser, summed over runs of texts."""
+    for batch in stream:
+        for keys, data, offsets in w.chunks(batch.column(0), batch.column(1), RUN_BYTES):
+            words = w.words_of(data, offsets)
+            at = w.places(np.maximum(words.counts - WINDOW + 1, 0), words.bounds)
+            if len(at):
+                slot, n = np.unique(_slots(_minima(w.grams(words.hash, GRAM), WINDOW - GRAM + 1)[at], slots), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n)], ["slot", "n"])
+
+
+@dataclass
+class Deal:
+    """Where windows go: a bucket by the minimiser's slot; those of hot slots by their own hash."""
+
+    buckets: int
+    hot: np.ndarray
+    hot_buckets: int
+
+    @property
+    def slots(self) -> int:
+        return self.buckets * SLOTS
+
+
+def deal(keyed: DataFrame, buckets: int, limit: int = HOT_WINDOWS) -> Deal:
+    """Counts the windows of all slots; one with more than `limit` is hot, so at most windows / limit are."""
+    slots = buckets * SLOTS
+    loads = keyed.mapInArrow(lambda stream: _loads(stream, slots), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    hot = loads.where(F.col("n") > limit).toArrow()
+    windows = int(hot["n"].to_numpy().sum()) if hot.num_rows else 0
+    return Deal(buckets, np.sort(hot["slot"].to_numpy()), windows // limit + 1)
+
+
+def _packed(stream: Iterator[pa.RecordBatch], to: Deal) -> Iterator[pa.RecordBatch]:
+    buckets, press = to.buckets, zstandard.ZstdCompressor(level=1)
     for batch in stream:
         for keys, data, offsets in w.chunks(batch.column(0), batch.column(1), RUN_BYTES):
             rows = []
@@ -99,36 +146,64 @@ def _packed(stream: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
             start = (at - np.repeat(words.bounds[:-1], windows)).astype(np.int32)
             later = _later(words, at)
             least = _minima(w.grams(words.hash, GRAM), WINDOW - GRAM + 1)[at]
+            hot = np.isin(_slots(least, to.slots), to.hot) & ~later if len(to.hot) else np.zeros(len(at), bool)
             if later.any():
                 k, s, e = _spans(owner[later], start[later], start[later] + np.int32(WINDOW))
                 rows.append((int(k[0] % buckets), k.tobytes(), s.tobytes(), (e - s).tobytes(), None))
-            sent = np.flatnonzero(~later)
-            begin, last = _runs(
-                np.diff(sent) != 1, owner[sent][1:] != owner[sent][:-1], least[sent][1:] != least[sent][:-1]
-            )
-            begin, last = sent[begin], sent[last]
-            bucket = (w.mixed(least[begin], 7) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            begin, last, bucket = begin[order], last[order], bucket[order]
-            low, high = words.start[at[begin]], words.end[at[last] + WINDOW - 1]
-            whole = memoryview(data)
-            bounds = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                text = b"".join([whole[i:j] for i, j in zip(low[a:b].tolist(), high[a:b].tolist(), strict=True)])
-                rows.append(
-                    (
-                        int(bucket[a]),
-                        press.compress(owner[begin[a:b]].astype(np.int64).tobytes()),
-                        press.compress(start[begin[a:b]].tobytes()),
-                        press.compress((high[a:b] - low[a:b]).astype(np.int32).tobytes()),
-                        press.compress(text),
-                    )
+            if hot.any():
+                first, second = (w.grams(x, WINDOW)[at[hot]] for x in (words.hash, words.second))
+                bucket = (first % np.uint64(to.hot_buckets)).astype(np.int64) + buckets
+                order = np.argsort(bucket, kind="stable")
+                columns = [x[order] for x in (owner[hot].astype(np.int64), start[hot], first, second)]
+                bounds = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1)).tolist()
+                for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                    rows.append((int(bucket[order[a]]), *(x[a:b].tobytes() for x in columns)))
+            sent = np.flatnonzero(~later & ~hot)
+            if len(sent):
+                begin, last = _runs(
+                    np.diff(sent) != 1, owner[sent][1:] != owner[sent][:-1], least[sent][1:] != least[sent][:-1]
                 )
+                begin, last = sent[begin], sent[last]
+                bucket = _slots(least[begin], to.slots) % buckets
+                order = np.argsort(bucket, kind="stable")
+                begin, last, bucket = begin[order], last[order], bucket[order]
+                low, high = words.start[at[begin]], words.end[at[last] + WINDOW - 1]
+                whole = memoryview(data)
+                bounds = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    text = b"".join([whole[i:j] for i, j in zip(low[a:b].tolist(), high[a:b].tolist(), strict=True)])
+                    rows.append(
+                        (
+                            int(bucket[a]),
+                            press.compress(owner[begin[a:b]].astype(np.int64).tobytes()),
+                            press.compress(start[begin[a:b]].tobytes()),
+                            press.compress((high[a:b] - low[a:b]).astype(np.int32).tobytes()),
+                            press.compress(text),
+                        )
+                    )
             types = [pa.int32(), *[pa.binary()] * 4]
             columns = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, ["bucket", "keys", "starts", "sizes", "text"])
 
 
+def _table(*columns: np.ndarray) -> pa.Table:
+    types = zip(columns, (pa.int64(), pa.int32(), pa.int32()), strict=True)
+    return pa.table([pa.array(c, t) for c, t in types], ["key", "first", "stop"])
+
+
+def _repeated_hot(bucket: pa.Table) -> pa.Table:
+    """The same where each window came by itself, as 128 bits of hash: the others of its minimiser are elsewhere."""
+    kinds = zip(("keys", "starts", "sizes", "text"), (np.int64, np.int32, np.uint64, np.uint64), strict=True)
+    keys, starts, first, second = (np.frombuffer(b"".join(bucket[c].to_pylist()), kind) for c, kind in kinds)
+    order = np.lexsort((starts, keys, second, first))
+    later = np.zeros(len(order), bool)
+    a, b = first[order], second[order]
+    later[order[1:]] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+    order = np.lexsort((starts, keys))
+    order = order[later[order]]
+    return _table(*_spans(keys[order], starts[order], starts[order] + np.int32(WINDOW)))
+
+
 def _repeated(bucket: pa.Table) -> pa.Table:
     """Spans of the windows of one bucket that stand in it before, and the spans settled by tasks."""
     plain = zstandard.ZstdDecompressor().decompress
@@ -155,9 +230,7 @@ def _repeated(bucket: pa.Table) -> pa.Table:
         later = _later(words, at)
         settled.append(_spans(keys[later], begins[later], begins[later] + np.int32(WINDOW)))
     columns = [np.concatenate(c) for c in zip(*settled, strict=True)] if settled else [[], [], []]
-    return pa.table(
-        {"key": pa.array(columns[0], pa.int64()), "first": pa.array(columns[1], pa.int32()), "stop": pa.array(columns[2], pa.int32())}
-    )
+    return _table(*columns)
 
 
 def repeated_spans(keyed: DataFrame, buckets: int) -> DataFrame:
@@ -165,8 +238,14 @@ def repeated_spans(keyed: DataFrame, buckets: int) -> DataFrame:
 
     `keyed` has (key BIGINT unique, text). Spans of one key may overlap.
     """
-    sent = keyed.mapInArrow(lambda stream: _packed(stream, buckets), SENT)
-    return sent.groupBy("bucket").applyInArrow(_repeated, "key long, first int, stop int")
+    to = deal(keyed, buckets)
+    shared = keyed.sparkSession.sparkContext.broadcast(to)
+    sent = keyed.mapInArrow(lambda stream: _packed(stream, shared.value), SENT)
+
+    def repeated(key: tuple, bucket: pa.Table) -> pa.Table:
+        return _repeated_hot(bucket) if key[0].as_py() >= buckets else _repeated(bucket)
+
+    return sent.groupBy("bucket").applyInArrow(repeated, "key long, first int, stop int")
 
 
 def bucket_count(documents: DataFrame, text: str) -> int:
