@@ -7,6 +7,7 @@ is never shuffled: the counts behind the table travel as one bounded summary per
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 from collections import Counter
 from collections.abc import Iterator
@@ -119,7 +120,15 @@ def length_table(tokenizer: Tokenizer, words: list[str]) -> dict[str, int]:
     return {p: len(e.ids) for p, e in zip(pieces, encoded, strict=True)}
 
 
-_COUNTING: dict[int, Counting] = {}
+_COUNTING: dict[str, Counting] = {}
+
+
+def counting_of(name: str, content: str, table: dict[str, int]) -> Counting:
+    """The counter of this worker process, by the digest of its file and table; it outlives the task."""
+    if name not in _COUNTING:
+        _COUNTING.clear()
+        _COUNTING[name] = Counting(Tokenizer.from_str(content), table)
+    return _COUNTING[name]
 
 
 def token_counts(
@@ -137,14 +146,12 @@ def token_counts(
         content = file.read()
     words = [r["word"] for r in frequent_words(documents, text, table_size).collect()]
     table = length_table(Tokenizer.from_str(content), words)
-    shared = spark.sparkContext.broadcast((content, table))
+    name = hashlib.sha256(repr((content, sorted(table.items()))).encode()).hexdigest()
+    shared = spark.sparkContext.broadcast((name, content, table))
 
     @F.arrow_udf("long")
     def n_tokens(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if id(shared) not in _COUNTING:
-            _COUNTING.clear()
-            _COUNTING[id(shared)] = Counting(Tokenizer.from_str(shared.value[0]), shared.value[1])
-        count = _COUNTING[id(shared)]
+        count = counting_of(*shared.value)
         for array in texts:
             yield pa.array([count(t.as_py()) for t in array], pa.int64())
 
