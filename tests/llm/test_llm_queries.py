@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables absen
 
 
 def test_registry():
-    assert {re.match(r"op(\d+)_", n)[1] for n in QUERIES} == {str(i) for i in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in QUERIES} == {str(i) for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 

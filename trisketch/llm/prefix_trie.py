@@ -96,16 +96,16 @@ def rebuilt(conversations: DataFrame, family: int = 20, most: int = 4) -> DataFr
     return paths(roots.unionByName(taken).unionByName(own.where(F.col("place") >= h)))
 
 
-def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (conv_id, depth): the node before each segment but the first."""
+def _starts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (conv_id, depth): the node before each segment of `size` depths but the first."""
     conv, node = None, ROOT
     for batch in batches:
         out = []
         for c, depth, turn in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             if c != conv:
                 conv, node = c, ROOT
-            if depth and depth % SEGMENT == 0:
-                out.append((c, depth // SEGMENT, node))
+            if depth and depth % size == 0:
+                out.append((c, depth // size, node))
             if depth:
                 node = _children_of(node, turn)
         columns = zip(*out, strict=True) if out else ([], [], [])
@@ -113,13 +113,13 @@ def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["conv_id", "segment", "start"])
 
 
-def _segments(paths: DataFrame) -> DataFrame:
+def _segments(paths: DataFrame, size: int) -> DataFrame:
     """The paths with their segment and the node before it; conversations of one segment have the root."""
-    rows = paths.withColumn("segment", F.expr(f"depth div {SEGMENT}"))
+    rows = paths.withColumn("segment", F.expr(f"depth div {size}"))
     long = rows.where("segment > 0")
     of_long = rows.join(long.select("conv_id").distinct(), "conv_id", "left_semi").select("conv_id", "depth", "turn")
     ordered = of_long.repartition("conv_id").sortWithinPartitions("conv_id", "depth")
-    starts = ordered.mapInArrow(_starts, "conv_id long, segment long, start binary")
+    starts = ordered.mapInArrow(lambda s: _starts(s, size), "conv_id long, segment long, start binary")
     first = rows.where("segment = 0").withColumn("start", F.lit(bytearray(ROOT)))
     return first.unionByName(long.join(starts, ["conv_id", "segment"]))
 
@@ -161,8 +161,8 @@ class _Index:
         members, ends = self.members(bits), self.members(bits & self.ending.get(depth, 0))
         return *_PAIR.unpack(node), *above, depth, words, members, ends
 
-    def nodes(self, segment: int) -> Iterator[tuple]:
-        first = segment * SEGMENT
+    def nodes(self, segment: int, size: int) -> Iterator[tuple]:
+        first = segment * size
         if segment == 0:
             yield self.row(ROOT, None, 0, self.starts[ROOT], 0)
             first = 1
@@ -176,7 +176,7 @@ class _Index:
                 rest ^= bits
                 node = _children_of(parent, turn)
                 yield self.row(node, parent, depth, bits, self.words[turn])
-                if depth + 1 < (segment + 1) * SEGMENT:
+                if depth + 1 < (segment + 1) * size:
                     stack.append((node, depth + 1, bits))
 
 
@@ -185,23 +185,27 @@ SHARD_SCHEMA = (
 )
 
 
-def _shard_nodes(key: tuple, table: pa.Table) -> pa.Table:
-    rows = list(_Index(table).nodes(key[1].as_py()))
+def _shard_nodes(key: tuple, table: pa.Table, segment: int) -> pa.Table:
+    rows = list(_Index(table).nodes(key[1].as_py(), segment))
     kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 2
     names = [c.split()[0] for c in SHARD_SCHEMA.split(", ")]
     return pa.table([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
-def shard_nodes(paths: DataFrame) -> DataFrame:
+def shard_nodes(paths: DataFrame, shard: int = SHARD, segment: int = SEGMENT) -> DataFrame:
     """The nodes of every shard with their members and those that end there; a written table.
 
     The first family member and those who took over its beginning are likely neighbours in the id
     space, so runs of 32 ids go to a shard together.
     """
     paths = materialize(paths, "paths")
-    shards = paths.where("depth = 0").count() // SHARD + 1
-    dealt = _segments(paths).withColumn("shard", F.pmod(F.xxhash64(F.shiftright("conv_id", 5)), F.lit(shards)))
-    return materialize(dealt.groupBy("shard", "segment").applyInArrow(_shard_nodes, SHARD_SCHEMA), "shard-nodes")
+    shards = paths.where("depth = 0").count() // shard + 1
+    dealt = _segments(paths, segment).withColumn("shard", F.pmod(F.xxhash64(F.shiftright("conv_id", 5)), F.lit(shards)))
+
+    def nodes(key: tuple, table: pa.Table) -> pa.Table:
+        return _shard_nodes(key, table, segment)
+
+    return materialize(dealt.groupBy("shard", "segment").applyInArrow(nodes, SHARD_SCHEMA), "shard-nodes")
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +304,7 @@ def _parents(nodes: DataFrame) -> DataFrame:
     return below.join(hot, PARENT).unionByName(few).select(*NODE, "parent_conv_id")
 
 
-def prefix_trie(paths: DataFrame) -> DataFrame:
+def prefix_trie(paths: DataFrame, shard: int = SHARD, segment: int = SEGMENT) -> DataFrame:
     """One row per distinct prefix of the paths, from (conv_id, depth, turn, n_words, ends).
 
     (conv_id, depth) tells a node: its smallest member and its length. Further (hi, lo), the digest
@@ -309,7 +313,7 @@ def prefix_trie(paths: DataFrame) -> DataFrame:
     members but one; ends_sha256, of the sorted ids that end there, joined by commas. A repeated row
     of the paths is not allowed; no paths give no rows, not even the root.
     """
-    shards = shard_nodes(paths)
+    shards = shard_nodes(paths, shard, segment)
     nodes = _merged(shards)
     rows = nodes.drop(*PARENT, "leaf", "saved", "n_words").join(_subtrees(nodes, shards).hint("merge"), NODE)
     rows = rows.join(_parents(nodes).hint("merge"), NODE, "left").join(end_digests(shards).hint("merge"), NODE, "left")
