@@ -219,9 +219,10 @@ def linked_components(sets):
     return [find(i) for i in range(len(sets))]
 
 
-@pytest.mark.parametrize("block,broadcast", [(256, 10**6), (2, 0)])
-def test_ngram_join(session, rows, monkeypatch, block, broadcast):
+@pytest.mark.parametrize("block,length,broadcast", [(256, 64, 10**6), (2, 2, 0)])
+def test_ngram_join(session, rows, monkeypatch, block, length, broadcast):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "LIST", length)
     monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", broadcast)
     ordered = in_key_order(rows)
     sets = [shingle_set(words(t, lower=True)) for _, t, _ in ordered]
@@ -234,6 +235,36 @@ def test_ngram_join(session, rows, monkeypatch, block, broadcast):
     same([(r.doc_id, r.text) for r in kept.collect()], [ordered[i][:2] for i in range(len(ordered)) if roots[i] == i])
 
 
+def templated(n, seed):
+    """Texts of ten sentences out of n / 2; every sixth one differs from an earlier text by one sentence."""
+    rng = random.Random(seed)
+    sentences = [" ".join(f"s{i}x{rng.randrange(10**6)}" for _ in range(30)) for i in range(n // 2)]
+    chosen = []
+    for i in range(n):
+        parts = [rng.choice(sentences) for _ in range(10)]
+        if i % 6 == 5:
+            parts = list(rng.choice(chosen))
+            parts[rng.randrange(10)] = rng.choice(sentences)
+        chosen.append(parts)
+    return [(i, " ".join(parts), "s") for i, parts in enumerate(chosen)]
+
+
+@pytest.mark.parametrize("length", [3, 64])
+def test_a_group_that_grows_by_chains_of_shared_sentences(session, monkeypatch, length):
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "LIST", length)
+    seen = []
+    led, compared = ngram_join._led, ngram_join._long_groups
+    monkeypatch.setattr(ngram_join, "_led", lambda pairs, sets: seen.append(pairs) or led(pairs, sets))
+    monkeypatch.setattr(ngram_join, "_long_groups", lambda listed: seen.append(compared(listed)) or seen[-1])
+    rows = templated(240, 3)
+    sets = [shingle_set(words(t)) for _, t, _ in rows]
+    expected = list(zip(range(240), map(len, sets), linked_components(sets), strict=True))
+    same([tuple(r) for r in ngram_join.near_duplicates(table(session, rows)).collect()], expected)
+    pairs, placed = seen[1], seen[2]
+    assert pairs.count() and (length == 3 or placed.isEmpty())
+
+
 def test_a_group_of_near_copies_and_an_empty_table(session, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
     base = vocabulary(9, 120)

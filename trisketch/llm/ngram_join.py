@@ -8,9 +8,12 @@ is out before any pair is made. A candidate must share prefix shingles under eac
 then it is verified on the sets.
 
 Steps: equal sets become one class; repeated shingles are found through packed, hash-partitioned
-shingles; surviving classes post their prefixes and fall into groups that share lists. A large
-group is first compared with its leaders only, one comparison per member; what that connects is
-not compared again. All other candidates of a group are verified within it, block by block.
+shingles; surviving classes post their prefixes and fall into groups that share lists. A small
+group is compared within one task. The classes of a large one are first compared with a leader,
+one comparison per member; what that connects is not compared again. Then all of them are posted
+under every order. Short lists emit pairs, which must come from each order to be verified; only
+classes that meet in a long list are compared block by block. So groups that grow by chains of
+short lists cost in proportion to their postings.
 """
 
 from __future__ import annotations
@@ -37,6 +40,8 @@ HOT = 1000
 BLOCK = 256
 """Sets of a group that are compared within one task, and of each block of a larger group."""
 COLUMNS = 16_384
+LIST = 64
+"""Classes of a list that emits pairs; a posting meets fewer than this many others."""
 
 PACKED = "place int, docs boolean, keys binary, sizes binary, counts binary, tokens binary"
 
@@ -353,16 +358,18 @@ def _set_of(n: int, tokens: pa.Scalar, ranks: pa.Scalar) -> tuple[int, np.ndarra
     return int(n), np.frombuffer(tokens.as_py(), np.uint64), np.frombuffer(ranks.as_py(), np.uint8)
 
 
-def _postings(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _postings(stream: Iterator[pa.RecordBatch], orders: int = 1) -> Iterator[pa.RecordBatch]:
+    """The repeated shingles of each class's prefix under each order; other columns go along."""
     for batch in stream:
-        n = batch.column(1).to_pylist()
-        sets = [_set_of(*x) for x in zip(n, batch.column(3), batch.column(4), strict=True)]
-        lists = [_prefix(tokens, ranks, m, 0) for m, tokens, ranks in sets]
-        if lists:
+        names = [x for x in batch.schema.names if x not in ("tokens", "ranks")]
+        n = batch.column("n").to_pylist()
+        sets = [_set_of(*x) for x in zip(n, batch.column("tokens"), batch.column("ranks"), strict=True)]
+        for order in range(orders if sets else 0):
+            lists = [_prefix(tokens, ranks, m, order) for m, tokens, ranks in sets]
             each = np.array([len(x) for x in lists])
-            columns = [pa.array(np.concatenate(lists).view(np.int64))]
-            columns += [pa.array(np.repeat(batch.column(i).to_numpy(), each), pa.int64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays(columns, ["token", "key", "n", "r"])
+            columns = [pa.array(np.full(each.sum(), order, np.int32)), pa.array(np.concatenate(lists).view(np.int64))]
+            columns += [pa.array(np.repeat(batch.column(x).to_numpy(), each), pa.int64()) for x in names]
+            yield pa.RecordBatch.from_arrays(columns, ["ordering", "token", *names])
 
 
 def _shared(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
@@ -439,16 +446,61 @@ def _can_link(na: Column, ra: Column, nb: Column, rb: Column) -> Column:
     return 7 * F.least(ra, rb) >= 3 * (na + nb)
 
 
+POSTING = "ordering int, token long, key long, n long, r long"
+
+
+def _listed(classes: DataFrame, placed: DataFrame) -> DataFrame:
+    """Postings of the placed classes under every order, with the length m of their list, if over one."""
+    chosen = classes.join(placed.select("key", "component"), "key")
+    posted = materialize(
+        chosen.mapInArrow(lambda s: _postings(s, ORDERS), f"{POSTING}, component long"), "all-postings"
+    )
+    lengths = posted.groupBy("ordering", "token").agg(F.count("*").alias("m")).where("m > 1")
+    return materialize(posted.join(lengths, ["ordering", "token"]), "lists")
+
+
+def _candidates(listed: DataFrame) -> DataFrame:
+    """(key, lead): unconnected pairs that meet in a short list of the first order, and under each
+    other one in a short list too, unless both are in long lists there.
+    """
+    bit = F.expr("shiftleft(1, ordering)")
+    long_lists = listed.where(F.col("m") > LIST).groupBy("key").agg(F.bit_or(bit).alias("long_in"))
+    short = listed.where(F.col("m") <= LIST).drop("m").join(long_lists, "key", "left").fillna(0, ["long_in"])
+    one, two = (short.select("ordering", "token", *[F.col(c).alias(c + x) for c in SIDE]) for x in "12")
+    sizes_allow = 4 * F.least("n1", "n2") >= 3 * F.greatest("n1", "n2")
+    unconnected = (F.col("key1") < F.col("key2")) & (F.col("component1") != F.col("component2"))
+    met = one.join(two, ["ordering", "token"]).where(
+        unconnected & sizes_allow & _can_link(F.col("n1"), F.col("r1"), F.col("n2"), F.col("r2"))
+    )
+    both = F.col("long_in1").bitwiseAND(F.col("long_in2"))
+    masks = met.groupBy("key1", "key2").agg(F.bit_or(bit).alias("short_in"), F.max(both).alias("long_in"))
+    every = F.col("short_in").bitwiseOR(F.col("long_in")) == (1 << ORDERS) - 1
+    found = masks.where((F.col("short_in") % 2 == 1) & every)
+    return found.select(F.col("key2").alias("key"), F.col("key1").alias("lead"))
+
+
+SIDE = ["key", "n", "r", "component", "long_in"]
+
+
+def _long_groups(listed: DataFrame) -> DataFrame:
+    """(key, group): classes that meet in long lists of the first order, directly or by others."""
+    long_lists = listed.where((F.col("ordering") == 0) & (F.col("m") > LIST)).select("token", "key")
+    heads = long_lists.groupBy("token").agg(F.min("key").alias("v"))
+    edges = long_lists.join(heads, "token").select(F.col("key").alias("u"), "v")
+    return components(edges).select(F.col("node").alias("key"), F.col("component").alias("group"))
+
+
 def class_links(classes: DataFrame, buckets: int) -> DataFrame:
     """Enough links (u, v) between classes to connect all that are linked.
 
     Classes that share prefix lists, directly or by others, form a group; no link leaves it. A
     small group is compared inside one task. In a large one, each class is first compared with
-    the leader that it shares most lists with; then blocks are compared with blocks, but for
-    those that are connected already.
+    the leader that it shares most lists with. Unconnected classes that meet in short lists are
+    verified pair by pair once all orders agree; those that meet in a long list are compared
+    block by block, but for those that are connected already.
     """
     classes = materialize(ranked_classes(classes, buckets), "ranked")
-    posted = materialize(classes.mapInArrow(_postings, "token long, key long, n long, r long"), "postings")
+    posted = materialize(classes.mapInArrow(_postings, POSTING), "postings")
     leaders = posted.groupBy("token").agg(F.min(F.struct("n", "key", "r")).alias("lead"), F.count("*").alias("m"))
     starred = posted.join(leaders.where("m > 1"), "token").where(F.col("key") != F.col("lead.key"))
     stars = starred.groupBy("key", "n", "r", "lead").agg(F.count("*").alias("m"))
@@ -477,6 +529,11 @@ def class_links(classes: DataFrame, buckets: int) -> DataFrame:
     first = materialize(_led(best.select("key", F.col("best.k").alias("lead")), sets), "links")
     joined = components(first).withColumnRenamed("node", "key")
     placed = large.join(joined, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    listed = _listed(classes, placed)
+    links = links.unionByName(first).unionByName(_led(materialize(_candidates(listed), "candidates"), sets))
+    placed = materialize(placed.drop("group").join(_long_groups(listed), "key"), "long-groups")
+    if placed.isEmpty():
+        return links
     counts = placed.groupBy("group", "component").agg(F.count("*").alias("s"))
     pool = counts.where(F.col("s") < BLOCK).groupBy("group").agg(F.ceil(F.sum("s") / BLOCK).alias("pools"))
     where = counts.join(pool, "group", "left").select(
@@ -503,7 +560,7 @@ def class_links(classes: DataFrame, buckets: int) -> DataFrame:
     same = (placed["group"] == wanted["group"]) & (placed["part"] == wanted["part"]) & placed["owner"].eqNullSafe(wanted["owner"])
     rows = placed.join(wanted, same).select("task", wanted["group"], "key", "side").join(sets, "key")
     crossed = rows.groupBy("task").applyInArrow(_compared, "u long, v long")
-    return links.unionByName(first).unionByName(crossed)
+    return links.unionByName(crossed)
 
 
 def _led(stars: DataFrame, sets: DataFrame) -> DataFrame:
