@@ -325,6 +325,45 @@ def test_recall_of_planted_vectors(session):
     assert sum(got.values()) >= 0.95 * links.sum() > 500
 
 
+@pytest.mark.parametrize("spread", [0.02, 0.06, 0.1, 0.14])
+@pytest.mark.parametrize("single", [True, False])
+def test_links_by_balls(session, monkeypatch, spread, single):
+    """Balls that link as a whole, not at all, or in part; every count is that of all pairs."""
+    monkeypatch.setattr(ed, "BLOCK", 20)
+    monkeypatch.setattr(ed, "TILE", 3)
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((3, 12))
+    centres[1] = centres[0] + 0.25 * rng.standard_normal(12)
+    vectors = np.concatenate([c + spread * rng.standard_normal((150, 12)) for c in centres] + [rng.standard_normal((5, 12))])
+    vectors = vectors.astype(np.float32 if single else np.float64)
+    unit = vectors.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    copies = rng.integers(1, 4, len(unit))
+    of = [0] * 300 + [1] * 150 + [2] * 5
+    linked = unit @ unit.T >= 0.95
+    same_component = np.array(of)[:, None] == np.array(of)[None, :]
+    expected = (linked & same_component & ~np.eye(len(unit), dtype=bool)) @ copies
+    stored = vectors if single else unit
+    rows = [(i, 12, int(m), bytearray(stored[i].tobytes()), of[i]) for i, m in enumerate(copies)]
+    frame = session.createDataFrame(rows, "key long, dim int, m long, vector binary, component long")
+    got = {r.key: r.n for r in ed.link_counts(frame).collect()}
+    assert [got[i] for i in range(len(unit))] == expected.tolist()
+    met = ed.ball_meetings(ed.in_balls(frame).where("blocks > 1"))
+    compared, blocks = met.where("other IS NOT NULL").count(), met.select("component", "block").distinct().count()
+    assert blocks <= 2 * (15 + 8)
+    assert compared < 0.5 * blocks**2 / 2 if spread < 0.05 else compared > 0
+
+
+def test_one_tight_group_compares_no_vectors(session, monkeypatch):
+    monkeypatch.setattr(ed, "BLOCK", 50)
+    rng = np.random.default_rng(7)
+    vectors = rng.standard_normal(32) + 0.05 * rng.standard_normal((2000, 32))
+    rows = [(i, 32, 1, bytearray((v / np.linalg.norm(v)).tobytes()), 0) for i, v in enumerate(vectors)]
+    frame = session.createDataFrame(rows, "key long, dim int, m long, vector binary, component long")
+    assert ed.ball_meetings(ed.in_balls(frame)).where("other IS NOT NULL").count() == 0
+    assert {r.n for r in ed.link_counts(frame).collect()} == {1999}
+
+
 def test_a_worker_builds_its_counter_once(session):
     tokenizer = "".join(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8"))
     one = tc.counting_of("name", tokenizer, {})
