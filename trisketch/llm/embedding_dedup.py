@@ -28,6 +28,8 @@ PASSES, BITS, WINDOW = 20, 48, 64
 BLOCK = 512
 TILE = 512
 """Vectors a ball holds on average at most, and balls that meet as many others in one task."""
+SALTS = 64
+"""Copies of the size of a large group, so that its rows find it in as many tasks."""
 ANGLE, SLACK = float(np.arccos(LEAST)), 1e-6
 """Angle of a link. What is nearer to it than the slack, far above all rounding, is compared."""
 
@@ -186,6 +188,19 @@ def _meet(group: pa.Table) -> pa.Table:
     )
 
 
+def _with_size(rows: DataFrame, counted: DataFrame, place: list[str], key: str, name: str, unit: int) -> DataFrame:
+    """The rows and `name`: how many times `unit` rows, rounded up, `counted` has in their place.
+
+    Only places of more than `unit` rows are looked up, so the salted copies of their sizes are
+    at most SALTS / unit of the rows.
+    """
+    sizes = counted.groupBy(*place).agg(F.ceil(F.count("*") / unit).alias(name)).where(F.col(name) > 1)
+    salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS).cast("bigint")))
+    found = rows.join(salted, [*place, "salt"], "left")
+    return found.withColumn(name, F.coalesce(name, F.lit(1).cast("bigint"))).drop("salt")
+
+
 def in_balls(linked: DataFrame, seed: int = 0) -> DataFrame:
     """Rows (key, dim, m, vector, component) with the block that each belongs to, and `blocks`, the
     number of blocks that its component needs at least.
@@ -193,17 +208,14 @@ def in_balls(linked: DataFrame, seed: int = 0) -> DataFrame:
     The leading signs of a component's vectors, as many as it needs blocks, make its cells, and a
     cell with too many vectors is cut by a hash; so there are at most twice as many blocks as needed.
     """
-    needed = linked.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     fields = "key long, dim int, m long, vector binary, component long"
-    celled = (
-        linked.select("key", "dim", "m", "vector", "component")
-        .mapInArrow(lambda stream: _ordered(stream, 1, seed), f"pass int, order long, {fields}")
-        .drop("pass")
-        .join(needed, "component")
-        .withColumn("cell", F.expr(f"shiftright(order, {BITS} - least({BITS}, cast(ceil(log2(blocks)) AS int)))"))
+    ordered = linked.select("key", "dim", "m", "vector", "component").mapInArrow(
+        lambda stream: _ordered(stream, 1, seed), f"pass int, order long, {fields}"
+    )
+    celled = _with_size(ordered, linked, ["component"], "key", "blocks", BLOCK).withColumn(
+        "cell", F.expr(f"shiftright(order, {BITS} - least({BITS}, cast(ceil(log2(blocks)) AS int)))")
     )
-    cells = celled.groupBy("component", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("cuts"))
-    cut = celled.join(cells, ["component", "cell"])
+    cut = _with_size(celled, celled, ["component", "cell"], "key", "cuts", BLOCK)
     # two blocks of equal hash are one larger block
     block = F.xxhash64("cell", F.pmod(F.xxhash64("key"), "cuts"))
     return cut.withColumn("block", block).select("key", "dim", "m", "vector", "component", "blocks", "block")
@@ -213,8 +225,7 @@ def ball_meetings(placed: DataFrame) -> DataFrame:
     """(component, block, other, mass, own) as `_meet` gives them, of all balls of the components."""
     shape = "component long, dim int, block long, middle binary, radius double, mass long"
     balls = materialize(placed.groupBy("component", "block").applyInArrow(_ball, shape), "balls")
-    tiles = balls.groupBy("component").agg(F.ceil(F.count("*") / TILE).alias("tiles"))
-    tiled = balls.join(tiles, "component").withColumn("tile", F.pmod("block", "tiles"))
+    tiled = _with_size(balls, balls, ["component"], "block", "tiles", TILE).withColumn("tile", F.pmod("block", "tiles"))
     tiled = tiled.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
     tiled = tiled.withColumns({"one": F.least("tile", "with"), "two": F.greatest("tile", "with")})
     return tiled.groupBy("component", "one", "two").applyInArrow(
