@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -8,6 +9,7 @@ from trisketch.operators import colors as co
 from trisketch.operators.graph import canonical_edges
 from trisketch.operators.triangles import triangle_count
 from trisketch.plans.reports import triangle_report
+from trisketch.session import materialize
 
 PAIRS = random_graph(45, 400, seed=11, hubs=2)
 CLEAN = simple(PAIRS)
@@ -117,6 +119,28 @@ def test_copies_are_exchanged_once(edges):
     assert above_copies.count("Exchange") == 1 and "Join" not in above_copies and "Window" in above_copies
 
 
+def test_copies_that_can_close_nothing_stay_away(edges_of):
+    """Buyers with 20 sellers each: no buyer is entered by an edge, few sellers are linked."""
+    rng = random.Random(5)
+    pairs = [(1000 + i, x) for i in range(100) for x in rng.sample(range(60), 20)] + [(x, x + 1) for x in range(59)]
+    edges, colors = canonical_edges(edges_of(pairs)), 30
+    rows = co.copied_lists(edges, colors, A, B).collect()
+    assert sum(len(r.own or r.above) for r in rows) < colors * len(pairs) / 10
+    assert {(r.mid, x) for r in rows if r.own for x in r.own} <= simple(pairs) | {(v, u) for u, v in simple(pairs)}
+    counts = co.triangles_by_triplet_replicated(edges, colors, A, B).collect()
+    assert sum(r.t for r in counts) == len(triangles(simple(pairs)))
+
+
+@pytest.mark.parametrize("limit", [15_000, 10**6])
+def test_dense_neighbours_fill_their_signatures(edges_of, limit):
+    """Every vertex has more out-neighbours than a signature has bits, and hubs are looked up apart."""
+    pairs = random_graph(300, 30_000, seed=3, low=-(10**15))
+    edges = canonical_edges(edges_of(pairs))
+    expected = triangle_count(edges).first().triangles
+    assert co.exact_by_keys(edges, A, B, limit).first().triangles == expected
+    assert sum(r.t for r in co.triangles_by_triplet_replicated(edges, 3, A, B).collect()) == expected
+
+
 def test_every_edge_gets_one_key_per_color(edges):
     keyed = co.edge_color_triplets(edges, 4, A, B)
     rows = [tuple(r) for r in keyed.collect()]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from trisketch.functions.hashing import EDGE_HASH, P, affine_hash, edge_hash, require_positive, run_table
 from trisketch.functions.medians import truncated_median
-from trisketch.operators.graph import orient, vertices
+from trisketch.operators.graph import SIGNATURE, may_hold, orient, out_neighbours, vertices, with_signatures
 from trisketch.operators.triangles import triangle_list, triangles_by_group
 from trisketch.session import materialize, shared_folder
 
@@ -234,42 +234,68 @@ def oversized_keys(edges: DataFrame, colors: int, a: int, b: int, edges_per_key:
     return sizes.select("triplet", F.least(splits, F.lit(P)).cast("int").alias("splits"))
 
 
+def _color_sql(x: str, a: int, b: int, colors: int | str) -> str:
+    """`affine_hash` as SQL, for use inside lambdas over arrays."""
+    return f"CAST(pmod(pmod({a}L * pmod({x}, {P}L) + {b}L, {P}L), {colors}) AS INT)"
+
+
+def _per_color(lists: DataFrame, name: str, a: int, b: int, colors: int | str) -> DataFrame:
+    """The arrays `own` and `above`, one of which is null, cut by the colour `name` of their ids."""
+    hue = _color_sql("y", a, b, colors)
+    cut = lists.withColumn(name, F.explode(F.expr(f"array_distinct(transform(coalesce(above, own), y -> {hue}))")))
+    return cut.withColumns({x: F.expr(f"filter({x}, y -> {hue} = {name})") for x in ("own", "above")})
+
+
+def copied_lists(edges: DataFrame, colors: int, a: int, b: int) -> DataFrame:
+    """(triplet, far, src, mid, own, above): edges copied to keys as lists of ids of the colour `far`.
+
+    As closing edges (own), the out-neighbours of mid go to every key that its colour, theirs and a
+    third one make, unless no edge enters mid. As wedges (above), the neighbours of src that rank above
+    mid go to the one key of their three colours, but for those that mid's signature rules out.
+    """
+    require_positive(colors=colors)
+    adj = out_neighbours(with_signatures(materialize(orient(edges), "oriented")), (), SIGNATURE)
+    closing = (
+        f"if(src_deg = size(nbrs), array(), transform(sequence(0, {colors - 1}), c -> "
+        "struct(src AS mid, nbrs.id AS own, CAST(null AS array<bigint>) AS above, c AS third)))"
+    )
+    wedges = (
+        "filter(transform(slice(nbrs, 1, size(nbrs) - 1), (x, i) -> struct(x.id AS mid, CAST(null AS array<bigint>) AS own, "
+        "if(x.low_bits IS NULL, array(), "
+        f"filter(slice(nbrs, i + 2, size(nbrs)), y -> {may_hold('x', 'y')}).id) AS above, {_color_sql('src', a, b, colors)} AS third)), "
+        "r -> size(r.above) > 0)"
+    )
+    sent = adj.select("src", F.explode(F.expr(f"concat({closing}, {wedges})")).alias("r")).selectExpr("src", "r.*")
+    sent = _per_color(sent, "far", a, b, colors)
+    key = _packed(F.expr(_color_sql("mid", a, b, colors)), F.col("third"), F.col("far"), colors)
+    return sent.select(key.alias("triplet"), "far", "src", "mid", "own", "above")
+
+
 def triangles_by_triplet_replicated(
     edges: DataFrame, colors: int, a: int, b: int, oversized: DataFrame | None = None
 ) -> DataFrame:
     """t_k from copied edges: enumerate inside every key, keep triangles whose sorted colours equal it.
 
-    Copies are shuffled once, by key. Inside that distribution every vertex of a key sends the rest
-    of its neighbour list along each edge, lists meet the receiver's own by a window, and found
-    corners count if they have the colour that the edge was copied for. Keys in `oversized`
-    (triplet, splits) are dealt once more by a second colour of the three corners.
+    Copies are lists, and those that can close no triangle of the key are left out (`copied_lists`).
+    They are shuffled once, by key. Inside that distribution lists meet the receiver's own by a
+    window. Keys in `oversized` (triplet, splits) are dealt once more by a second colour of the three
+    corners.
     """
-    copies = _copies(orient(edges), colors, a, b, ("src", "dst")).where("triplet IS NOT NULL")
-    by = ["triplet"]
+    copies = copied_lists(edges, colors, a, b)
+    by, far = ["triplet"], ["far"]
     if oversized is not None:
-        second = lambda v: affine_hash(v, *SECOND_COLOR, F.col("splits"))
         copies = copies.join(oversized, "triplet", "left").withColumn("splits", F.coalesce("splits", F.lit(1)))
-        copies = copies.withColumn("other", F.explode(F.expr("sequence(0, splits - 1)")))
-        part = _packed(second(F.col("src")), second(F.col("dst")), F.col("other"), P)
-        copies, by = copies.withColumn("part", part), ["triplet", "part", "splits"]
-    else:
-        copies = copies.withColumn("other", F.lit(0))
-    neighbour = F.struct(F.col("dst_deg").alias("deg"), F.col("dst").alias("id"), "third", "other")
-    adj = copies.repartition(*by[:2]).groupBy(*by, "src").agg(F.sort_array(F.collect_list(neighbour)).alias("nbrs"))
-    lists = adj.selectExpr(
-        *by,
-        """inline(concat(
-          array(struct(src AS mid, nbrs.id AS own, CAST(null AS array<bigint>) AS above, 0 AS third, 0 AS other)),
-          transform(slice(nbrs, 1, size(nbrs) - 1), (x, i) -> struct(
-            x.id AS mid, CAST(null AS array<bigint>) AS own, slice(nbrs.id, i + 2, size(nbrs)) AS above, x.third AS third, x.other AS other))))""",
-    )
-    own = F.first("own", ignorenulls=True).over(Window.partitionBy(*by, "mid"))
-    met = lists.withColumn("own", own).where("above IS NOT NULL AND own IS NOT NULL")
-    right = lambda far: affine_hash(far, a, b, colors) == F.col("third")
-    if oversized is not None:
-        first, right = right, lambda far: first(far) & (affine_hash(far, *SECOND_COLOR, F.col("splits")) == F.col("other"))
-    closing = F.filter(F.array_intersect("above", "own"), right)
-    return met.groupBy("triplet").agg(F.sum(F.size(closing).cast("bigint")).alias("t")).where("t > 0")
+        second = lambda x: _color_sql(x, *SECOND_COLOR, "splits")
+        others = f"if(above IS NULL, sequence(0, splits - 1), array({second('src')}))"
+        copies = _per_color(copies.withColumn("other", F.explode(F.expr(others))), "far2", *SECOND_COLOR, "splits")
+        part = _packed(F.expr(second("mid")), F.col("other"), F.col("far2"), P)
+        copies = copies.withColumn("part", part)
+        by, far = ["triplet", "part"], ["far", "far2"]
+    copies = copies.select(*by, *far, "mid", "own", "above").repartition(*by)
+    own = F.first("own", ignorenulls=True).over(Window.partitionBy(*by, *far, "mid"))
+    met = copies.withColumn("own", own).where("above IS NOT NULL AND own IS NOT NULL")
+    found = F.size(F.array_intersect("above", "own")).cast("bigint")
+    return met.groupBy("triplet").agg(F.sum(found).alias("t")).where("t > 0")
 
 
 def exact_by_keys(edges: DataFrame, a: int, b: int, edges_per_key: int = EDGES_PER_KEY) -> DataFrame:

@@ -78,10 +78,37 @@ def orient(edges: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def out_neighbours(oriented: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+SIGNATURE = ["bit", "low_bits", "high_bits"]
+"""Columns of an edge: the bit that stands for dst, and 128 bits that stand for dst's out-neighbours."""
+
+
+def with_signatures(oriented: DataFrame) -> DataFrame:
+    """Oriented edges with SIGNATURE; the bits are null where no edge leaves dst.
+
+    A vertex whose bit is not set there is no out-neighbour of dst. Vertices of a degree that at most
+    HOT_VERTICES can have are looked up in a broadcast, so that no hub gathers its edges in one task.
+    """
+    edges = oriented.withColumn("bit", F.expr("CAST(pmod(xxhash64(dst), 128) AS INT)"))
+    bits = edges.groupBy("src", "src_deg").agg(
+        F.expr("bit_or(if(bit < 64, shiftleft(1L, bit), 0L))").alias("low_bits"),
+        F.expr("bit_or(if(bit < 64, 0L, shiftleft(1L, bit - 64)))").alias("high_bits"),
+    )
+    ends = edges.agg((2 * F.count("*")).alias("ends")).scalar()
+    hot = lambda deg: F.col(deg) * HOT_VERTICES > ends
+    of = lambda rows: rows.select(F.col("src").alias("dst"), "low_bits", "high_bits")
+    looked_up = edges.where(hot("dst_deg")).join(F.broadcast(of(bits.where(hot("src_deg")))), "dst", "left")
+    return looked_up.unionByName(edges.where(~hot("dst_deg")).join(of(bits), "dst", "left"))
+
+
+def may_hold(x: str, y: str) -> str:
+    """SQL: y may be an out-neighbour of x, both entries of a list with SIGNATURE; never false if it is one."""
+    return f"if({y}.bit < 64, getbit({x}.low_bits, {y}.bit), getbit({x}.high_bits, {y}.bit - 64)) = 1"
+
+
+def out_neighbours(oriented: DataFrame, by: Sequence[str] = (), more: Sequence[str] = ()) -> DataFrame:
     """Per vertex, inside each group of `by`, its out-neighbours ascending by (deg, id).
 
-    A list holds at most sqrt(2m) entries. Result: by..., src, src_deg, nbrs.
+    A list holds at most sqrt(2m) entries, which carry the columns `more`. Result: by..., src, src_deg, nbrs.
     """
-    neighbour = F.expr("struct(dst_deg AS deg, dst AS id)")
+    neighbour = F.expr(f"struct({', '.join(['dst_deg AS deg', 'dst AS id', *more])})")
     return oriented.groupBy(*by, "src", "src_deg").agg(F.sort_array(F.collect_list(neighbour)).alias("nbrs"))
