@@ -141,6 +141,13 @@ def test_dense_neighbours_fill_their_signatures(edges_of, limit):
     assert sum(r.t for r in co.triangles_by_triplet_replicated(edges, 3, A, B).collect()) == expected
 
 
+def test_edges_by_keys_are_made_once(edges, edges_of, monkeypatch):
+    written = []
+    monkeypatch.setattr(co, "materialize", lambda df, purpose: written.append(purpose) or materialize(df, purpose))
+    assert co.exact_by_keys(edges, A, B, 40).first().triangles == len(TRIANGLES)
+    assert written == ["edges", "oriented"]
+
+
 def test_every_edge_gets_one_key_per_color(edges):
     keyed = co.edge_color_triplets(edges, 4, A, B)
     rows = [tuple(r) for r in keyed.collect()]

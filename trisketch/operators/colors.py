@@ -301,9 +301,10 @@ def triangles_by_triplet_replicated(
 def exact_by_keys(edges: DataFrame, a: int, b: int, edges_per_key: int = EDGES_PER_KEY) -> DataFrame:
     """Exact count over keys of a bounded number of edges, one row.
 
-    The edges are counted first, which gives the colours, and then the keys that are still larger:
-    two small jobs before the plan. Larger keys are broadcast up to BROADCAST_KEYS of them.
+    The edges are written once and counted, which gives the colours, and then the keys that are still
+    larger: two small jobs before the plan. Larger keys are broadcast up to BROADCAST_KEYS of them.
     """
+    edges = materialize(edges, "edges")
     colors = colors_for(edges.count(), edges_per_key)
     oversized = oversized_keys(edges, colors, a, b, edges_per_key)
     n = oversized.count()
