@@ -368,3 +368,15 @@ def test_a_worker_builds_its_counter_once(session):
     tokenizer = "".join(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8"))
     one = tc.counting_of("name", tokenizer, {})
     assert tc.counting_of("name", tokenizer, {}) is one and tc.counting_of("other", tokenizer, {}) is not one
+
+
+def test_shingles_of_one_class_are_unique_among_the_classes(session):
+    """Shingles whose other texts did not survive are not sent on, nor classes that have too few others."""
+    sets = {1: range(1, 11), 2: [*range(1, 10), 11], 3: range(20, 30), 4: [1, *range(50, 59)]}
+    rows = [(k, 10, 10, bytearray(np.array(sorted(x), np.uint64).tobytes())) for k, x in sets.items()]
+    classes = session.createDataFrame(rows, "key long, n long, r long, tokens binary")
+    got = ngram_join.ranked_classes(classes, 4).collect()
+    assert {r.key: (r.n, r.r, np.frombuffer(r.tokens, np.uint64).tolist()) for r in got} == {
+        k: (10, 9, list(range(1, 10))) for k in (1, 2)
+    }
+    assert all(len(r.ranks) == 9 and min(r.ranks) > 0 for r in got)

@@ -8,7 +8,8 @@ is out before any pair is made. A candidate must share prefix shingles under eac
 then it is verified on the sets.
 
 Steps: equal sets become one class; repeated shingles are found through packed, hash-partitioned
-shingles; surviving classes post their prefixes and fall into groups that share lists. A small
+shingles; of the surviving classes, those that share enough shingles with other survivors post their
+prefixes and fall into groups that share lists. A small
 group is compared within one task. The classes of a large one are first compared with a leader,
 one comparison per member; what that connects is not compared again. Then all of them are posted
 under every order. Short lists emit pairs, which must come from each order to be verified; only
@@ -310,7 +311,11 @@ def _ranked(bucket: pa.Table, buckets: int) -> pa.Table:
 
 
 def _assembled(place: pa.Table) -> pa.Table:
-    """The classes of one place with their shingles, sorted, and the ranks of these."""
+    """The classes of one place with the shingles that another class has too, sorted, and the ranks of these.
+
+    Rank 0 is a single class; the others of such a shingle are copies or did not survive. So it counts as
+    unique from here on, and a class whose prefix holds unique shingles only can link with none.
+    """
     owners, tokens, ranks, size_of = [], [], [], {}
     for row in place.to_pylist():
         keys, sizes, counts, t = _unpacked(row)
@@ -320,16 +325,19 @@ def _assembled(place: pa.Table) -> pa.Table:
         ranks.append(np.frombuffer(row["ranks"], np.uint8))
     owner, token, rank = (np.concatenate(x) for x in (owners, tokens, ranks))
     order = np.lexsort((token, owner))
+    order = order[rank[order] > 0]
     owner, token, rank = owner[order], token[order], rank[order]
-    out = [
-        (int(owner[a]), size_of[int(owner[a])], b - a, token[a:b].tobytes(), rank[a:b].tobytes()) for a, b in _cut(owner)
-    ]
+    out = []
+    for a, b in _cut(owner):
+        n = size_of[int(owner[a])]
+        if n - (b - a) < prefix_length(n):
+            out.append((int(owner[a]), n, b - a, token[a:b].tobytes(), rank[a:b].tobytes()))
     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
     return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["key", "n", "r", "tokens", "ranks"])
 
 
 def ranked_classes(classes: DataFrame, buckets: int) -> DataFrame:
-    """(key, n, r, tokens, ranks): the surviving classes with a rank for each repeated shingle.
+    """(key, n, r, tokens, ranks): the classes that can link, with a rank for each of their r shared shingles.
 
     Hot shingles, a bounded set, have the last rank and are not sent to be counted.
     """
