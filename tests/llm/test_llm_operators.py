@@ -18,6 +18,7 @@ from trisketch.llm import lm, mixing, ngram_join, pii, quality, substring_dedup,
 from trisketch.llm import token_counts as tc
 from trisketch.llm.components import components
 from trisketch.llm.shipping import ship
+from trisketch.llm.words import words_of
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key long, n string, score string"
@@ -538,3 +539,99 @@ def test_classes_follow_the_contexts(session):
     rows = [(i, " ".join(rng.choice(one if i % 2 else two) for _ in range(60)), "s") for i in range(300)]
     got = lm.log_probabilities(table(session, rows)).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def two_languages():
+    rng = random.Random(0)
+    one, two = vocabulary(1, 80), [w + "x" for w in vocabulary(2, 80)]
+    return [(i, " ".join(rng.choice(one if i % 2 else two) for _ in range(60)), "s") for i in range(300)]
+
+
+def test_every_word_chooses_a_class(session, monkeypatch):
+    """Of 160 words that are equally frequent, 8 are in the core and 24 in the table; the others choose too."""
+    monkeypatch.setattr(lm, "CLUSTERED", 8)
+    table_of = lm.frequent_table
+    monkeypatch.setattr(lm, "frequent_table", lambda counts: table_of(counts, 24))
+    got = lm.log_probabilities(table(session, two_languages())).where("held_out").collect()
+    gain = sum(r.score - r.base_score for r in got) / sum(r.n_tokens for r in got)
+    assert gain > 0.2  # the language of a word is worth log10(2) = 0.3
+
+
+@pytest.mark.parametrize("frequent,clustered", [(1 << 18, 4096), (24, 8)])
+def test_scores_follow_the_classes(session, monkeypatch, frequent, clustered):
+    monkeypatch.setattr(lm, "CLUSTERED", clustered)
+    table_of, fit, fitted = lm.frequent_table, lm.fit, []
+    monkeypatch.setattr(lm, "frequent_table", lambda counts: table_of(counts, frequent))
+    monkeypatch.setattr(lm, "fit", lambda *args: fitted.append(fit(*args)) or fitted[-1])
+    rows = rows_of(5, repeated=True) + [(2000 + i, t, s) for i, t, s in two_languages()[:40]]
+    got = lm.log_probabilities(table(session, rows)).collect()
+    model, texts = fitted[0]
+    kinds = {(int(h), int(s)): k for h, s, k in zip(model.table.hashes, model.table.seconds, model.classes, strict=True)}
+    for r in texts.selectExpr("inline(rare)").collect():
+        kinds[(r.h % 2**64, r.s % 2**64)] = r.k
+
+    def kind(word):
+        if word == "END":
+            return lm.EDGE
+        data = np.frombuffer(word, np.uint8)
+        found = words_of(data, np.array([0, len(data)]), two=True)
+        return int(kinds[(int(found.hash[0]), int(found.second[0]))])
+
+    tokens, count, pairs = [], collections.Counter(), collections.Counter()
+    for d, t, _ in rows:
+        ts = [*words(t, lower=True), "END"]
+        held = d is not None and zlib.crc32(str(d).encode()) % 10 == 0
+        tokens.append((d, ts))
+        if not held:
+            count.update(ts)
+            pairs.update(zip(map(kind, ["END", *ts[:-1]]), map(kind, ts), strict=True))
+    z, mass = sum(count.values()) + 0.1 * (len(count) + 1), collections.Counter({lm.OTHER: 0.1})
+    for t, c in count.items():
+        assert kind(t) != lm.OTHER
+        mass[kind(t)] += c + 0.1
+    after = collections.Counter()
+    for (d, k), n in list(pairs.items()):
+        after[d] += n
+        pairs[(lm.OTHER, k)] += n
+    total, size, expected = sum(after.values()), lm.CLASSES + 2, []
+    for d, ts in tokens:
+        score = 0.0
+        for a, b in zip(["END", *ts[:-1]], ts, strict=True):
+            x, y = kind(a), kind(b)
+            p = (pairs[(x, y)] + 0.5) / ((total if x == lm.OTHER else after[x]) + 0.5 * size)
+            c = count[b] + 0.1
+            score += math.log10(0.9 * p * c / mass[y] + 0.1 * c / z)
+        expected.append((d, len(ts), round(score, 5)))
+    same([(r.doc_id, r.n_tokens, round(r.score, 5)) for r in got], expected)
+
+
+def test_choices_have_the_best_gain(monkeypatch):
+    """The sparse sums of `_best` against the gain over all classes, for words in and out of a class."""
+    monkeypatch.setattr(lm, "BLOCK_CELLS", 50)
+    rng, kinds = np.random.default_rng(0), lm.CLASSES + 2
+    n = rng.poisson(2, (kinds, kinds)).astype(float)
+    n[:, 5] = n[5] = 0  # an empty class is no choice
+    owner, cells, counts, sides = [], [], [], []
+    for g in range(60):
+        size, own = int(rng.choice([1, 2, 8, 9, 30])), int(rng.choice([lm.OTHER, rng.integers(6, lm.CLASSES)]))
+        left, right = (np.bincount(rng.integers(6, kinds, size), minlength=kinds) for _ in range(2))
+        n[:, own] += left
+        n[own] += right
+        both = np.concatenate([left, right])
+        owner += [g] * int((both > 0).sum())
+        cells += np.flatnonzero(both).tolist()
+        counts += both[both > 0].tolist()
+        sides.append((size, own, left, right))
+    got, chosen = lm._best(*(np.array(x) for x in (owner, cells, counts, [s[1] for s in sides])), n)
+    assert got.tolist() == [s[0] for s in sides]
+    f = lm._xlogx
+    for (size, own, left, right), k in zip(sides, chosen.tolist(), strict=True):
+        gains = {}
+        for q in set(range(lm.CLASSES)) - {5}:
+            into, out = n[:, q], n[q]
+            if q == own:
+                into, out = np.maximum(into - left, 0), np.maximum(out - right, 0)
+            x, y = n[:, q].sum() - size * (q == own), n[q].sum() - size * (q == own)
+            gains[q] = (f(into + left) - f(into)).sum() + (f(out + right) - f(out)).sum()
+            gains[q] -= f(x + size) - f(x) + f(y + size) - f(y)
+        assert gains[k] == pytest.approx(max(gains.values()))

@@ -1,14 +1,16 @@
 """Scores of a Brown class-based bigram model.
 
 Words are assigned to classes by exchange clustering: a word moves to the class with the highest
-likelihood of the class bigrams. The model gives a token w after class d the probability
+likelihood of the class bigrams. The most frequent words are exchanged one after the other; then, in
+each sweep, all words of the vocabulary choose at once, from the classes of the sweep before (as in
+Uszkoreit and Brants, Distributed word clustering, 2008): the neighbour classes of a word meet by a
+shuffle, and the classes of words outside the broadcast table come into their texts by a join. A
+word unseen in training is in a class of its own. The model gives a token w after class d the probability
 
     a * P(class(w) | d) * (c(w) + 0.1) / Z(class(w)) + (1 - a) * (c(w) + 0.1) / Z
 
 with counts c over all training texts, Z(k) the sum of (c + 0.1) over the words of class k, and Z
-that over all words and one unknown word. The word's own factor (c(w) + 0.1) comes out of the
-sum, so class terms need only the bounded table of frequent words, and the counts of all other
-words, however many there are, come by a join.
+that over all words and one unknown word.
 """
 
 from __future__ import annotations
@@ -27,14 +29,22 @@ from trisketch.session import materialize
 
 FREQUENT = 1 << 18
 """Words in the broadcast table at most: 32 bytes each, 8 MB."""
+RARE = (1 << 24) - 1
+"""Id of the words outside the table in an encoded text, three bytes."""
 CLUSTERED = 4096
-"""Most frequent words that get a class of their own choice; the driver holds 2 x CLASSES numbers for each."""
+"""Most frequent words of the core, with which the exchange starts; the driver holds 2 x CLASSES numbers for each."""
 CLASSES = 64
 OTHER, EDGE = CLASSES, CLASSES + 1
 ROUNDS = 4
+SWEEPS = 2
+"""Sweeps of all words after those of the core."""
 SHARE = 0.9
 RUN_BYTES = 4 << 20
 FLUSH = 4_000_000
+RUN_WORDS = 1 << 18
+BLOCK_CELLS = 1 << 15
+SMALL = 9
+"""Counts below have their gains in a table."""
 
 
 def held_out(doc_id: Column) -> Column:
@@ -136,32 +146,131 @@ def frequent_table(counts: DataFrame, size: int = FREQUENT) -> Table:
     return Table(hashes[by_hash], seconds[by_hash], count[by_hash], rank[by_hash])
 
 
-def _sequences(words: w.Words, ids: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+def _packed(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Per text three bytes of each id: first all the low ones, then the next, which compress."""
+    counts = np.diff(bounds)
+    first = np.repeat(bounds[:-1], counts)
+    size, place = np.repeat(counts, counts), 2 * first + np.arange(len(ids))
+    data = np.empty(3 * len(ids), np.uint8)
+    for k in range(3):
+        data[place + k * size] = ids >> 8 * k & 255
+    offsets = pa.py_buffer((3 * bounds).astype(np.int64))
+    return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, offsets, pa.py_buffer(data)]).cast(pa.binary())
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column without nulls, and the bounds of its rows."""
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of `_packed` and the bounds of the texts."""
+    data, offsets = _bytes(column)
+    bounds = offsets // 3
+    counts = np.diff(bounds)
+    first = np.repeat(bounds[:-1], counts)
+    size, place = np.repeat(counts, counts), 2 * first + np.arange(len(first))
+    ids = np.zeros(len(first), np.int64)
+    for k in range(3):
+        ids |= data[place + k * size].astype(np.int64) << 8 * k
+    return ids, bounds
+
+
+ENCODED = "key long, train boolean, ids binary, rare array<struct<at: int, h: long, s: long, c: long, k: byte>>"
+
+
+def encoded(rows: DataFrame, table: Table) -> DataFrame:
+    """Texts of (key, text, train) as ids: the rank of a word of the table, RARE for any other.
+
+    `rare` lists the other words: place in the text, hash, count in training (0) and class (OTHER).
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    def encode(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in stream:
+            done, train = 0, batch.column(2)
+            for keys, data, offsets in w.chunks(batch.column(0), batch.column(1), RUN_BYTES):
+                words = w.words_of(data, offsets, lower=True, two=True)
+                at, there = known.find(words)
+                ids = np.full(len(at), RARE, np.int64)
+                ids[there] = known.rank[at[there]]
+                place = np.arange(len(at)) - np.repeat(words.bounds[:-1], words.counts)
+                n = int((~there).sum())
+                columns = [place[~there].astype(np.int32), *(x[~there].view(np.int64) for x in (words.hash, words.second))]
+                columns += [np.zeros(n, np.int64), np.full(n, OTHER, np.int8)]
+                rare = pa.StructArray.from_arrays([pa.array(x) for x in columns], ["at", "h", "s", "c", "k"])
+                cuts = np.concatenate([[0], np.cumsum(~there)])[words.bounds].astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(keys, pa.int64()),
+                        train.slice(done, len(keys)),
+                        _packed(ids, words.bounds),
+                        pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rare),
+                    ],
+                    ["key", "train", "ids", "rare"],
+                )
+                done += len(keys)
+
+    return rows.select("key", "text", "train").mapInArrow(encode, ENCODED)
+
+
+@dataclass
+class Run:
+    """Encoded texts: text `d` has the words bounds[d] to bounds[d + 1]; `at` are those outside the table."""
+
+    keys: pa.Array
+    bounds: np.ndarray
+    ids: np.ndarray
+    at: np.ndarray
+    rare: pa.StructArray
+
+    def column(self, name: str) -> np.ndarray:
+        return self.rare.field(name).to_numpy(zero_copy_only=False)
+
+    def kinds(self, by_rank: np.ndarray) -> np.ndarray:
+        """Class of each word, from the classes of the table's ranks and the row's own of the others."""
+        kinds = np.append(by_rank, OTHER)[np.minimum(self.ids, len(by_rank))]
+        kinds[self.at] = self.column("k")
+        return kinds
+
+
+def _runs(stream: Iterator[pa.RecordBatch]) -> Iterator[Run]:
+    for batch in stream:
+        sizes, begin = _bytes(batch.column("ids"))[1], 0
+        while begin < len(batch):
+            stop = int(np.searchsorted(sizes, sizes[begin] + 3 * RUN_WORDS, "right")) - 1
+            part = batch.slice(begin, max(stop, begin + 1) - begin)
+            ids, bounds = _unpacked(part.column("ids"))
+            rare = part.column("rare")
+            flat, counts = rare.flatten(), rare.value_lengths().to_numpy(zero_copy_only=False)
+            at = np.repeat(bounds[:-1], counts) + flat.field("at").to_numpy(zero_copy_only=False)
+            yield Run(part.column("key"), bounds, ids, at, flat)
+            begin += len(part)
+
+
+def _sequences(bounds: np.ndarray, ids: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """(before, token) of every word and of one end per text; a text starts after an end."""
-    n = len(words.counts)
-    places = words.bounds[1:] + np.arange(n)
-    full = np.insert(ids, words.bounds[1:], end) if n else ids
-    before = np.concatenate([[end], full[:-1]]) if len(full) else full
-    assert not len(full) or full[places[-1]] == end
-    return before, full
+    full = np.insert(ids, bounds[1:], end)
+    return np.concatenate([[end], full[:-1]])[: len(full)], full
 
 
-def word_bigrams(training: DataFrame, table: Table, clustered: int) -> DataFrame:
+def word_bigrams(texts: DataFrame, clustered: int) -> DataFrame:
     """(code, n): counts of the pairs of ids below `clustered`, with one id more for all other
     words and one for the end of a text; code = before * (clustered + 2) + id.
     """
-    shared = training.sparkSession.sparkContext.broadcast(table)
 
     def codes(stream: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        known = shared.value
-        for _, words in _hashed(stream):
-            at, there = known.find(words)
-            ids = np.full(len(at), clustered, np.int64)
-            ids[there] = np.minimum(known.rank[at[there]], clustered)
-            before, full = _sequences(words, ids, clustered + 1)
-            yield (before * (clustered + 2) + full).astype(np.int64)
-
-    sent = training.mapInArrow(lambda s: _summed(codes(s), "code"), "code long, n long")
+        for run in _runs(stream):
+            before, full = _sequences(run.bounds, np.minimum(run.ids, clustered), clustered + 1)
+            yield before * (clustered + 2) + full
+
+    sent = texts.mapInArrow(lambda s: _summed(codes(s), "code"), "code long, n long")
     return sent.groupBy("code").agg(F.sum("n").alias("n"))
 
 
@@ -234,6 +343,171 @@ def exchange_classes(bigrams: DataFrame, clustered: int, rounds: int = ROUNDS) -
     return classes, _class_bigrams(right, classes)
 
 
+CELLS = "id int, h long, s long, k byte, cells binary, counts binary"
+
+
+def _cells(stream: Iterator[pa.RecordBatch], by_rank: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Per word of the task, by id or hash: its class, and how often it has each class before (cell
+    d) and after it (cell CLASSES + 2 + e).
+    """
+    size, kinds_n = len(by_rank), CLASSES + 2
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def flush() -> pa.RecordBatch:
+        ids, left, right, h, s, k = (np.concatenate(x) for x in zip(*held, strict=True))
+        other = np.flatnonzero(ids == RARE)
+        order = np.argsort(h, kind="stable")
+        h, s, k = h[order], s[order], k[order]
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (s[1:] != s[:-1])])[: len(h)]
+        ids[other[order]] = size + np.cumsum(new) - 1
+        codes = np.concatenate([ids * 2 * kinds_n + left, ids * 2 * kinds_n + kinds_n + right])
+        codes, counts = np.unique(codes, return_counts=True)
+        words = codes // (2 * kinds_n)
+        starts = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+        words, cuts = words[starts], np.append(starts, len(codes)).astype(np.int64)
+        mask, place = words >= size, np.maximum(words - size, 0)
+        known = np.append(by_rank, OTHER)[np.minimum(words, size)]
+        rare = [np.append(x[new], 0)[place] for x in (h, s, k)]
+        data = (codes % (2 * kinds_n)).astype(np.uint8), counts.astype(np.uint32)
+        packed = [
+            pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(cuts * x.itemsize), pa.py_buffer(x)])
+            for x in data
+        ]
+        columns = [
+            pa.array(words.astype(np.int32), mask=mask),
+            *(pa.array(x, pa.int64(), mask=~mask) for x in rare[:2]),
+            pa.array(np.where(mask, rare[2], known).astype(np.int8)),
+            *(x.cast(pa.binary()) for x in packed),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["id", "h", "s", "k", "cells", "counts"])
+
+    total = 0
+    for run in _runs(stream):
+        kinds, some = run.kinds(by_rank), np.diff(run.bounds) > 0
+        left, right = np.append(EDGE, kinds[:-1])[: len(kinds)], np.append(kinds[1:], EDGE)[: len(kinds)]
+        left[run.bounds[:-1][some]], right[run.bounds[1:][some] - 1] = EDGE, EDGE
+        order = np.argsort(run.at, kind="stable")
+        ids = run.ids.copy()
+        held.append((ids, left, right, *(run.column(x)[order] for x in ("h", "s", "k"))))
+        total += len(ids)
+        if total >= FLUSH // 2:
+            yield flush()
+            held.clear()
+            total = 0
+    if total:
+        yield flush()
+
+
+def _best(
+    owner: np.ndarray, cells: np.ndarray, counts: np.ndarray, own: np.ndarray, n: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(occurrences, best class) of words 0, 1, ..., by the gain of `_exchange` with the class
+    bigrams n of the sweep before. Word owner[i] has counts[i] of cells[i], sorted; own: its class.
+
+    Classes without tokens are no choice: each word alone would take them, and so would all at once.
+    """
+    base = np.concatenate([n[:, :CLASSES], n[:CLASSES].T])
+    before, after = base[: CLASSES + 2].sum(0), base[CLASSES + 2 :].sum(0)
+    small = np.stack([_xlogx(base + i) - _xlogx(base) for i in range(SMALL)])
+    starts = np.searchsorted(owner, np.arange(len(own) + 1))
+    total = np.add.reduceat(np.where(cells < CLASSES + 2, counts, 0), starts[:-1]) if len(own) else own
+    chosen = np.empty(len(own), np.int64)
+    begin = 0
+    while begin < len(own):
+        stop = max(int(np.searchsorted(starts, starts[begin] + BLOCK_CELLS, "right")) - 1, begin + 1)
+        part, a, c = slice(starts[begin], starts[stop]), own[begin:stop], total[begin:stop]
+        cell, count, at = cells[part], counts[part], starts[begin:stop] - starts[begin]
+        gain = small[np.minimum(count, SMALL - 1), cell]
+        big = count >= SMALL
+        gain[big] = _xlogx(base[cell[big]] + count[big, None]) - _xlogx(base[cell[big]])
+        gain = np.add.reduceat(gain, at)
+        sizes, place = np.unique(c, return_inverse=True)
+        for side in (before, after):
+            gain -= (_xlogx(side + sizes[:, None]) - _xlogx(side))[place]
+        inside = np.flatnonzero(a < CLASSES)  # a word in a class is taken out of it first
+        if len(inside):
+            now = np.minimum(a, CLASSES - 1)
+            mine = np.repeat(now, np.diff(np.append(at, len(cell))))
+            held = base[cell, mine]
+            stay = np.add.reduceat(_xlogx(held) - _xlogx(np.maximum(held - count, 0)), at)
+            for side in (before, after):
+                stay -= _xlogx(side[now]) - _xlogx(np.maximum(side[now] - c, 0))
+            gain[inside, a[inside]] = stay[inside]
+        gain[:, before + after <= 0] = -np.inf
+        chosen[begin:stop] = gain.argmax(1)
+        begin = stop
+    return total, chosen
+
+
+def _chosen(stream: Iterator[pa.RecordBatch], n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(id, h, s, c, k) of each word of the sorted rows of `_cells`: its count and its best class."""
+
+    def choose(rows: pa.RecordBatch, group: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+        cells, bounds = _bytes(rows.column("cells"))
+        counts = _bytes(rows.column("counts"))[0].copy().view(np.uint32)
+        code = np.repeat(group, np.diff(bounds)) * 2 * (CLASSES + 2) + cells
+        order = np.argsort(code, kind="stable")
+        code = code[order]
+        starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        sums, code = np.add.reduceat(counts[order].astype(np.int64), starts), code[starts]
+        own = rows.column("k").to_numpy()[first].astype(np.int64)
+        c, k = _best(code // (2 * (CLASSES + 2)), code % (2 * (CLASSES + 2)), sums, own, n)
+        words = [rows.column(x).take(pa.array(first)) for x in ("id", "h", "s")]
+        return pa.RecordBatch.from_arrays([*words, pa.array(c), pa.array(k.astype(np.int8))], ["id", "h", "s", "c", "k"])
+
+    held = None
+    for batch in stream:
+        rows = batch if held is None else pa.concat_batches([held, batch])
+        if not len(rows):
+            continue
+        parts = [rows.column(x).fill_null(-1).to_numpy() for x in ("id", "h", "s")]
+        new = np.concatenate([[True], np.any([x[1:] != x[:-1] for x in parts], axis=0)])
+        first = np.flatnonzero(new)
+        last = int(first[-1])  # its rows may go on in the next batch
+        if last:
+            yield choose(rows.slice(0, last), (np.cumsum(new) - 1)[:last], first[:-1])
+        held = rows.slice(last)
+    if held is not None:
+        yield choose(held, np.zeros(len(held), np.int64), np.zeros(1, np.int64))
+
+
+def choices(texts: DataFrame, by_rank: np.ndarray, n: np.ndarray) -> DataFrame:
+    """(id, h, s, c, k): count and best class of every word of encoded texts, each word for itself
+    against the classes of the sweep before; id of a word of the table, hash of any other.
+    """
+    sent = texts.select("key", "ids", "rare").mapInArrow(lambda s: _cells(s, by_rank), CELLS)
+    ordered = sent.repartition("id", "h", "s").sortWithinPartitions("id", "h", "s")
+    return ordered.mapInArrow(lambda s: _chosen(s, n), "id int, h long, s long, c long, k byte")
+
+
+def with_choices(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """Encoded texts with the counts and classes of `choices` in their lists of other words."""
+    others = words.where("id IS NULL").select("h", "s", "c", "k")
+    found = texts.select("key", F.inline("rare")).select("key", "at", "h", "s").join(others, ["h", "s"], "left")
+    known = F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("k", F.lit(OTHER).cast("byte")).alias("k")
+    lists = found.groupBy("key").agg(F.collect_list(F.struct("at", "h", "s", *known)).alias("found"))
+    none = F.array().cast("array<struct<at: int, h: long, s: long, c: long, k: byte>>")
+    return texts.join(lists, "key", "left").select("key", "train", "ids", F.coalesce("found", none).alias("rare"))
+
+
+def class_bigrams(texts: DataFrame, by_rank: np.ndarray) -> np.ndarray:
+    """Counts of the pairs of classes in encoded texts, each text between two ends."""
+    kinds_n = CLASSES + 2
+
+    def sums(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(kinds_n * kinds_n, np.int64)
+        for run in _runs(stream):
+            before, full = _sequences(run.bounds, run.kinds(by_rank), EDGE)
+            total += np.bincount(before * kinds_n + full, minlength=len(total))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["cell", "n"])
+
+    sent = texts.select("key", "ids", "rare").mapInArrow(sums, "cell long, n long")
+    rows = sent.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    n = np.zeros(kinds_n * kinds_n)
+    n[rows.column("cell").to_numpy()] = rows.column("n").to_numpy()
+    return n.reshape(kinds_n, kinds_n)
+
+
 @dataclass
 class Model:
     table: Table
@@ -250,57 +524,79 @@ class Model:
         return self.train_tokens + 0.1 * (self.distinct + 1)
 
 
-def learn(training: DataFrame, counts: DataFrame, share: float = SHARE) -> Model:
-    """The model of the texts of (key, text), whose word counts are given."""
-    table = frequent_table(counts)
+def clustered_texts(texts: DataFrame, table: Table, sweeps: int = SWEEPS) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray]:
+    """Encoded texts with the classes of all their words, the classes by rank of the table's words,
+    the class bigrams of training, and (words, occurrences) of the other words by class.
+
+    The core of CLUSTERED words is exchanged first; then every word of the vocabulary, those of the
+    core too, chooses its class in each of `sweeps` sweeps.
+    """
+    core = min(CLUSTERED, len(table.hashes))
+    classes, n = exchange_classes(materialize(word_bigrams(texts.where("train"), core), "bigrams"), core)
+    by_rank = np.full(len(table.hashes), OTHER)
+    by_rank[:core] = classes[:core]
+    for _ in range(sweeps):
+        words = materialize(choices(texts.where("train"), by_rank, n), "words")
+        rows = words.where("id IS NOT NULL").select("id", "k").toArrow()  # at most FREQUENT
+        by_rank = by_rank.copy()
+        by_rank[rows.column("id").to_numpy()] = rows.column("k").to_numpy()
+        texts = materialize(with_choices(texts, words), "classes")
+        n = class_bigrams(texts.where("train"), by_rank)
+    others = np.zeros((2, CLASSES + 2))
+    for row in words.where("id IS NULL").groupBy("k").agg(F.count("*").alias("v"), F.sum("c").alias("c")).collect():
+        others[:, row["k"]] = row["v"], row["c"]
+    return texts, by_rank, n, others
+
+
+def fit(texts: DataFrame, counts: DataFrame, table: Table, share: float = SHARE) -> tuple[Model, DataFrame]:
+    """The model of the encoded texts in training, and all texts with the classes of their words."""
     sums = counts.agg(F.sum("c").alias("c"), F.count("*").alias("v")).first()
-    texts = training.count()
-    tokens, distinct = (sums["c"] or 0) + texts, sums["v"] + (1 if texts else 0)
-    clustered = min(CLUSTERED, len(table.hashes))
-    bigrams = materialize(word_bigrams(training, table, clustered), "bigrams")
-    classes, n = exchange_classes(bigrams, clustered)
-    of_table = np.where(table.rank < clustered, classes[np.minimum(table.rank, clustered)], OTHER)
-    mass = np.bincount(of_table, weights=table.counts + 0.1, minlength=CLASSES + 2)
-    mass[EDGE] = texts + 0.1 if texts else 0.0
-    model = Model(table, of_table, np.zeros_like(n), texts, tokens, distinct)
-    mass[OTHER] = model.mass - (mass.sum() - mass[OTHER])
+    trained = texts.where("train").count()
+    tokens, distinct = (sums["c"] or 0) + trained, sums["v"] + (1 if trained else 0)
+    texts, by_rank, n, others = clustered_texts(texts, table)
+    model = Model(table, by_rank[table.rank], np.zeros_like(n), trained, tokens, distinct)
+    mass = np.bincount(model.classes, weights=table.counts + 0.1, minlength=CLASSES + 2) + others[1] + 0.1 * others[0]
+    mass[EDGE] = trained + 0.1 if trained else 0.0
+    mass[OTHER] = 0.1  # the unknown word
+    n[OTHER] = n.sum(0)  # after an unknown word, the classes of all tokens
     follows = (n + 0.5) / (n.sum(1, keepdims=True) + 0.5 * len(n))
     with np.errstate(divide="ignore"):
         ratio = np.where(mass > 0, model.mass / np.maximum(mass, 1e-300), 0.0)
     model.terms = np.log10(share * follows * ratio + (1 - share))
-    return model
+    return model, texts
+
+
+def learn(training: DataFrame, counts: DataFrame, share: float = SHARE) -> Model:
+    """The model of the texts of (key, text), whose word counts are given."""
+    table = frequent_table(counts)
+    texts = materialize(encoded(training.withColumn("train", F.lit(True)), table), "encoded")
+    return fit(texts, counts, table, share)[0]
 
 
 def _scored(stream: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """Per text: tokens, known ones and sum of logarithms of the frequent words, class terms, rare words."""
-    log_counts = np.log10(model.table.counts + 0.1)
+    """Per text: tokens, known ones, sum of the logarithms of their counts and of the class terms."""
+    size = len(model.table.counts)
+    by_rank, logs_by_rank = np.full(size, OTHER), np.zeros(size + 1)
+    by_rank[model.table.rank] = model.classes
+    logs_by_rank[model.table.rank] = np.log10(model.table.counts + 0.1)
     end = np.log10(model.train_texts + 0.1)
 
     def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         return np.array([values[a:b].sum() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)])
 
-    for keys, words in _hashed(stream):
-        n = len(keys)
-        at, there = model.table.find(words)
-        kinds = np.full(len(at), OTHER)
-        logs = np.zeros(len(at))
-        if len(log_counts):
-            kinds[there] = model.classes[at[there]]
-            logs[there] = log_counts[at[there]]
-        before, full = _sequences(words, kinds, EDGE)
-        bounds = words.bounds + np.arange(n + 1)
-        rare = [pa.array(x[~there].view(np.int64), pa.int64()) for x in (words.hash, words.second)]
-        rare = pa.StructArray.from_arrays(rare, ["h", "s"])
-        cuts = np.concatenate([[0], np.cumsum(~there)])[words.bounds].astype(np.int32)
+    for run in _runs(stream):
+        n, c = len(run.keys), run.column("c")
+        logs, known = logs_by_rank[np.minimum(run.ids, size)], np.ones(len(run.ids), np.int64)
+        logs[run.at], known[run.at] = np.log10(c + 0.1), c > 0
+        before, full = _sequences(run.bounds, run.kinds(by_rank), EDGE)
         columns = [
-            pa.array(keys, pa.int64()),
-            pa.array(words.counts + 1, pa.int64()),
-            pa.array(sums(there.astype(np.int64), words.bounds) + (1 if model.train_texts else 0), pa.int64()),
-            pa.array(sums(logs, words.bounds) + end, pa.float64()),
-            pa.array(sums(model.terms[before, full], bounds), pa.float64()),
-            pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rare),
+            run.keys,
+            pa.array(np.diff(run.bounds) + 1, pa.int64()),
+            pa.array(sums(known, run.bounds) + (1 if model.train_texts else 0), pa.int64()),
+            pa.array(sums(logs, run.bounds) + end, pa.float64()),
+            pa.array(sums(model.terms[before, full], run.bounds + np.arange(n + 1)), pa.float64()),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["key", "n_tokens", "n_known", "logs", "classes", "rare"])
+        yield pa.RecordBatch.from_arrays(columns, ["key", "n_tokens", "n_known", "logs", "classes"])
 
 
 def log_probabilities(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -313,37 +609,25 @@ def log_probabilities(documents: DataFrame, doc_id: str = "doc_id", text: str =
     """
     spark = documents.sparkSession
     keyed = with_keys(documents, "__key", doc_id, text)
-    rows = keyed.select(F.col("__key").alias("key"), F.col(text).alias("text"))
-    training = keyed.where(~held_out(F.col(doc_id))).select(F.col("__key").alias("key"), F.col(text).alias("text"))
-    counts = materialize(word_counts(training), "word-counts")
-    model = learn(training, counts)
+    train = (~held_out(F.col(doc_id))).alias("train")
+    rows = keyed.select(F.col("__key").alias("key"), F.col(text).alias("text"), train)
+    counts = materialize(word_counts(rows.where("train").select("key", "text")), "word-counts")
+    table = frequent_table(counts)
+    model, texts = fit(materialize(encoded(rows, table), "encoded"), counts, table)
     shared = spark.sparkContext.broadcast(model)
-    parts = materialize(
-        rows.mapInArrow(
-            lambda s: _scored(s, shared.value),
-            "key long, n_tokens long, n_known long, logs double, classes double, rare array<struct<h: long, s: long>>",
-        ),
-        "scored",
-    )
-    rare = parts.select("key", F.inline("rare")).join(counts, ["h", "s"], "left")
-    looked_up = rare.groupBy("key").agg(
-        F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))).alias("rare_logs"), F.count("c").alias("rare_known")
+    parts = texts.select("key", "ids", "rare").mapInArrow(
+        lambda s: _scored(s, shared.value), "key long, n_tokens long, n_known long, logs double, classes double"
     )
     ids = keyed.select(F.col("__key").alias("key"), F.col(doc_id).alias("doc_id"))
-    base = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(np.log10(model.mass)))
+    base = F.col("logs") - F.col("n_tokens") * F.lit(float(np.log10(model.mass)))
     score = base + F.col("classes")
-    return (
-        parts.drop("rare")
-        .join(looked_up, "key", "left")
-        .join(ids, "key")
-        .select(
-            "doc_id",
-            held_out(F.col("doc_id")).alias("held_out"),
-            "n_tokens",
-            (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-            F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
-            base.alias("base_score"),
-            score.alias("score"),
-            F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
-        )
+    return parts.join(ids, "key").select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
+        base.alias("base_score"),
+        score.alias("score"),
+        F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
     )
