@@ -560,22 +560,23 @@ def test_every_word_chooses_a_class(session, monkeypatch):
 @pytest.mark.parametrize("frequent,clustered", [(1 << 18, 4096), (24, 8)])
 def test_scores_follow_the_classes(session, monkeypatch, frequent, clustered):
     monkeypatch.setattr(lm, "CLUSTERED", clustered)
-    table_of, fit, fitted = lm.frequent_table, lm.fit, []
+    table_of, cluster, found = lm.frequent_table, lm.clustered_texts, []
     monkeypatch.setattr(lm, "frequent_table", lambda counts: table_of(counts, frequent))
-    monkeypatch.setattr(lm, "fit", lambda *args: fitted.append(fit(*args)) or fitted[-1])
+    monkeypatch.setattr(lm, "clustered_texts", lambda *args: found.append((args[1], *cluster(*args))) or found[-1][1:])
     rows = rows_of(5, repeated=True) + [(2000 + i, t, s) for i, t, s in two_languages()[:40]]
     got = lm.log_probabilities(table(session, rows)).collect()
-    model, texts = fitted[0]
-    kinds = {(int(h), int(s)): k for h, s, k in zip(model.table.hashes, model.table.seconds, model.classes, strict=True)}
-    for r in texts.selectExpr("inline(rare)").collect():
+    known, _, by_rank, _, others = found[0]
+    classes = by_rank[known.rank]
+    kinds = {(int(h), int(s)): k for h, s, k in zip(known.hashes, known.seconds, classes, strict=True)}
+    for r in others.where("id IS NULL").collect():
         kinds[(r.h % 2**64, r.s % 2**64)] = r.k
 
     def kind(word):
         if word == "END":
             return lm.EDGE
         data = np.frombuffer(word, np.uint8)
-        found = words_of(data, np.array([0, len(data)]), two=True)
-        return int(kinds[(int(found.hash[0]), int(found.second[0]))])
+        one = words_of(data, np.array([0, len(data)]), two=True)
+        return int(kinds.get((int(one.hash[0]), int(one.second[0])), lm.OTHER))
 
     tokens, count, pairs = [], collections.Counter(), collections.Counter()
     for d, t, _ in rows:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from trisketch.llm import words as w
 from trisketch.llm.keys import with_keys
-from trisketch.session import materialize
+from trisketch.session import forget, materialize
 
 FREQUENT = 1 << 18
 """Words in the broadcast table at most: 32 bytes each, 8 MB."""
@@ -146,6 +146,16 @@ def frequent_table(counts: DataFrame, size: int = FREQUENT) -> Table:
     return Table(hashes[by_hash], seconds[by_hash], count[by_hash], rank[by_hash])
 
 
+def _packed_bytes(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    buffers = [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).cast(pa.binary())
+
+
+def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sum of the values of each text."""
+    return np.array([values[a:b].sum() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], values.dtype)
+
+
 def _packed(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """Per text three bytes of each id: first all the low ones, then the next, which compress."""
     counts = np.diff(bounds)
@@ -154,8 +164,7 @@ def _packed(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
     data = np.empty(3 * len(ids), np.uint8)
     for k in range(3):
         data[place + k * size] = ids >> 8 * k & 255
-    offsets = pa.py_buffer((3 * bounds).astype(np.int64))
-    return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, offsets, pa.py_buffer(data)]).cast(pa.binary())
+    return _packed_bytes(data, 3 * bounds)
 
 
 def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -225,6 +234,7 @@ class Run:
     """Encoded texts: text `d` has the words bounds[d] to bounds[d + 1]; `at` are those outside the table."""
 
     keys: pa.Array
+    train: pa.Array
     bounds: np.ndarray
     ids: np.ndarray
     at: np.ndarray
@@ -240,18 +250,32 @@ class Run:
         return kinds
 
 
+def _parts(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about RUN_WORDS words, of `size` bytes each in the column."""
+    ends, begin = _bytes(batch.column(column))[1], 0
+    while begin < len(batch):
+        stop = int(np.searchsorted(ends, ends[begin] + size * RUN_WORDS, "right")) - 1
+        stop = max(stop, begin + 1)
+        yield batch.slice(begin, stop - begin)
+        begin = stop
+
+
 def _runs(stream: Iterator[pa.RecordBatch]) -> Iterator[Run]:
     for batch in stream:
-        sizes, begin = _bytes(batch.column("ids"))[1], 0
-        while begin < len(batch):
-            stop = int(np.searchsorted(sizes, sizes[begin] + 3 * RUN_WORDS, "right")) - 1
-            part = batch.slice(begin, max(stop, begin + 1) - begin)
+        for part in _parts(batch, "ids", 3):
             ids, bounds = _unpacked(part.column("ids"))
             rare = part.column("rare")
             flat, counts = rare.flatten(), rare.value_lengths().to_numpy(zero_copy_only=False)
             at = np.repeat(bounds[:-1], counts) + flat.field("at").to_numpy(zero_copy_only=False)
-            yield Run(part.column("key"), bounds, ids, at, flat)
-            begin += len(part)
+            yield Run(part.column("key"), part.column("train"), bounds, ids, at, flat)
+
+
+def _classes(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows of classified texts with the bounds and classes of their words."""
+    for batch in stream:
+        for part in _parts(batch, "kinds", 1):
+            kinds, bounds = _bytes(part.column("kinds"))
+            yield part, bounds, kinds.astype(np.int64)
 
 
 def _sequences(bounds: np.ndarray, ids: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -369,15 +393,12 @@ def _cells(stream: Iterator[pa.RecordBatch], by_rank: np.ndarray) -> Iterator[pa
         known = np.append(by_rank, OTHER)[np.minimum(words, size)]
         rare = [np.append(x[new], 0)[place] for x in (h, s, k)]
         data = (codes % (2 * kinds_n)).astype(np.uint8), counts.astype(np.uint32)
-        packed = [
-            pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(cuts * x.itemsize), pa.py_buffer(x)])
-            for x in data
-        ]
+        packed = [_packed_bytes(x.view(np.uint8), cuts * x.itemsize) for x in data]
         columns = [
             pa.array(words.astype(np.int32), mask=mask),
             *(pa.array(x, pa.int64(), mask=~mask) for x in rare[:2]),
             pa.array(np.where(mask, rare[2], known).astype(np.int8)),
-            *(x.cast(pa.binary()) for x in packed),
+            *packed,
         ]
         return pa.RecordBatch.from_arrays(columns, ["id", "h", "s", "k", "cells", "counts"])
 
@@ -475,34 +496,79 @@ def choices(texts: DataFrame, by_rank: np.ndarray, n: np.ndarray) -> DataFrame:
     """(id, h, s, c, k): count and best class of every word of encoded texts, each word for itself
     against the classes of the sweep before; id of a word of the table, hash of any other.
     """
-    sent = texts.select("key", "ids", "rare").mapInArrow(lambda s: _cells(s, by_rank), CELLS)
+    sent = texts.mapInArrow(lambda s: _cells(s, by_rank), CELLS)
     ordered = sent.repartition("id", "h", "s").sortWithinPartitions("id", "h", "s")
     return ordered.mapInArrow(lambda s: _chosen(s, n), "id int, h long, s long, c long, k byte")
 
 
+def _found(texts: DataFrame, words: DataFrame, fields: list[str]) -> DataFrame:
+    """(key, found): per encoded text its words outside the table with the counts and classes of `choices`."""
+    others = words.where("id IS NULL").select("h", "s", "c", "k")
+    rare = texts.select("key", F.inline("rare")).select("key", "at", "h", "s").join(others, ["h", "s"], "left")
+    known = rare.fillna(0, ["c"]).withColumn("k", F.coalesce("k", F.lit(OTHER).cast("byte")))
+    return known.groupBy("key").agg(F.collect_list(F.struct(*fields)).alias("found"))
+
+
 def with_choices(texts: DataFrame, words: DataFrame) -> DataFrame:
     """Encoded texts with the counts and classes of `choices` in their lists of other words."""
-    others = words.where("id IS NULL").select("h", "s", "c", "k")
-    found = texts.select("key", F.inline("rare")).select("key", "at", "h", "s").join(others, ["h", "s"], "left")
-    known = F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("k", F.lit(OTHER).cast("byte")).alias("k")
-    lists = found.groupBy("key").agg(F.collect_list(F.struct("at", "h", "s", *known)).alias("found"))
+    lists = _found(texts, words, ["at", "h", "s", "c", "k"])
     none = F.array().cast("array<struct<at: int, h: long, s: long, c: long, k: byte>>")
     return texts.join(lists, "key", "left").select("key", "train", "ids", F.coalesce("found", none).alias("rare"))
 
 
-def class_bigrams(texts: DataFrame, by_rank: np.ndarray) -> np.ndarray:
-    """Counts of the pairs of classes in encoded texts, each text between two ends."""
+def classified(texts: DataFrame, words: DataFrame, by_rank: np.ndarray, table: Table) -> DataFrame:
+    """(key, train, kinds, n_known, logs): encoded texts as classes, a byte for each word, the number
+    of words known from training, and the sum of the log10 of (count + 0.1). Ids do not travel.
+    """
+    kinds_of, logs_of = np.append(by_rank, OTHER).astype(np.uint8), np.zeros(len(by_rank) + 1)
+    logs_of[table.rank] = np.log10(table.counts + 0.1)
+    known = "key long, train boolean, kinds binary, n_known long, logs double"
+
+    def start(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(stream):
+            at = np.minimum(run.ids, len(kinds_of) - 1)
+            inside = (at < len(kinds_of) - 1).astype(np.int64)
+            columns = [run.keys, run.train, _packed_bytes(kinds_of[at], run.bounds)]
+            columns += [pa.array(_sums(inside, run.bounds)), pa.array(_sums(logs_of[at], run.bounds))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "train", "kinds", "n_known", "logs"])
+
+    def fill(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            kinds, bounds = _bytes(batch.column("kinds"))
+            found = batch.column("found")
+            sizes = found.value_lengths().fill_null(0).to_numpy()
+            at, c, k = (found.flatten().field(x).to_numpy(zero_copy_only=False) for x in ("at", "c", "k"))
+            place, cuts = np.repeat(bounds[:-1], sizes) + at, np.append(0, np.cumsum(sizes))
+            kinds = kinds.copy()
+            kinds[place] = k
+            order = np.argsort(place)  # the order of the text, in which the sum is always the same
+            seen = pa.array(batch.column("n_known").to_numpy() + _sums((c > 0).astype(np.int64), cuts))
+            logs = pa.array(batch.column("logs").to_numpy() + _sums(np.log10(c + 0.1)[order], cuts))
+            columns = [batch.column("key"), batch.column("train"), _packed_bytes(kinds, bounds), seen, logs]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "train", "kinds", "n_known", "logs"])
+
+    started = texts.mapInArrow(start, known)
+    return started.join(_found(texts, words, ["at", "c", "k"]), "key", "left").mapInArrow(fill, known)
+
+
+def class_bigrams(texts: DataFrame, by_rank: np.ndarray | None = None) -> np.ndarray:
+    """Counts of the pairs of classes, each text between two ends: of encoded texts by the classes
+    of the table's ranks, or of classified ones.
+    """
     kinds_n = CLASSES + 2
 
     def sums(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(kinds_n * kinds_n, np.int64)
-        for run in _runs(stream):
-            before, full = _sequences(run.bounds, run.kinds(by_rank), EDGE)
+        if by_rank is None:
+            runs = ((bounds, kinds) for _, bounds, kinds in _classes(stream))
+        else:
+            runs = ((run.bounds, run.kinds(by_rank)) for run in _runs(stream))
+        for bounds, kinds in runs:
+            before, full = _sequences(bounds, kinds, EDGE)
             total += np.bincount(before * kinds_n + full, minlength=len(total))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["cell", "n"])
 
-    sent = texts.select("key", "ids", "rare").mapInArrow(sums, "cell long, n long")
-    rows = sent.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    rows = texts.mapInArrow(sums, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     n = np.zeros(kinds_n * kinds_n)
     n[rows.column("cell").to_numpy()] = rows.column("n").to_numpy()
     return n.reshape(kinds_n, kinds_n)
@@ -524,38 +590,48 @@ class Model:
         return self.train_tokens + 0.1 * (self.distinct + 1)
 
 
-def clustered_texts(texts: DataFrame, table: Table, sweeps: int = SWEEPS) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray]:
-    """Encoded texts with the classes of all their words, the classes by rank of the table's words,
-    the class bigrams of training, and (words, occurrences) of the other words by class.
+def clustered_texts(
+    texts: DataFrame, table: Table, sweeps: int = SWEEPS
+) -> tuple[DataFrame, np.ndarray, np.ndarray, DataFrame]:
+    """Texts as classes of all their words, the classes by rank of the table's words, the class
+    bigrams of training, and the words of `choices`. The folder of the encoded texts is removed.
 
     The core of CLUSTERED words is exchanged first; then every word of the vocabulary, those of the
     core too, chooses its class in each of `sweeps` sweeps.
     """
     core = min(CLUSTERED, len(table.hashes))
-    classes, n = exchange_classes(materialize(word_bigrams(texts.where("train"), core), "bigrams"), core)
+    bigrams = materialize(word_bigrams(texts.where("train"), core), "bigrams")
+    classes, n = exchange_classes(bigrams, core)
+    forget(bigrams)
     by_rank = np.full(len(table.hashes), OTHER)
     by_rank[:core] = classes[:core]
-    for _ in range(sweeps):
+    for sweep in range(1, sweeps + 1):
         words = materialize(choices(texts.where("train"), by_rank, n), "words")
         rows = words.where("id IS NOT NULL").select("id", "k").toArrow()  # at most FREQUENT
         by_rank = by_rank.copy()
         by_rank[rows.column("id").to_numpy()] = rows.column("k").to_numpy()
-        texts = materialize(with_choices(texts, words), "classes")
-        n = class_bigrams(texts.where("train"), by_rank)
-    others = np.zeros((2, CLASSES + 2))
-    for row in words.where("id IS NULL").groupBy("k").agg(F.count("*").alias("v"), F.sum("c").alias("c")).collect():
-        others[:, row["k"]] = row["v"], row["c"]
-    return texts, by_rank, n, others
+        before = texts
+        if sweep < sweeps:
+            texts = materialize(with_choices(before, words), "classes")
+            n = class_bigrams(texts.where("train"), by_rank)
+            forget(words)
+        else:
+            texts = materialize(classified(before, words, by_rank, table), "classified")
+            n = class_bigrams(texts.where("train"))
+        forget(before)
+    return texts, by_rank, n, words
 
 
 def fit(texts: DataFrame, counts: DataFrame, table: Table, share: float = SHARE) -> tuple[Model, DataFrame]:
-    """The model of the encoded texts in training, and all texts with the classes of their words."""
+    """The model of the encoded texts in training, and all texts as classes; the folder of the encoded ones is removed."""
     sums = counts.agg(F.sum("c").alias("c"), F.count("*").alias("v")).first()
     trained = texts.where("train").count()
     tokens, distinct = (sums["c"] or 0) + trained, sums["v"] + (1 if trained else 0)
-    texts, by_rank, n, others = clustered_texts(texts, table)
+    texts, by_rank, n, words = clustered_texts(texts, table)
     model = Model(table, by_rank[table.rank], np.zeros_like(n), trained, tokens, distinct)
-    mass = np.bincount(model.classes, weights=table.counts + 0.1, minlength=CLASSES + 2) + others[1] + 0.1 * others[0]
+    mass = np.bincount(model.classes, weights=table.counts + 0.1, minlength=CLASSES + 2)
+    for row in words.where("id IS NULL").groupBy("k").agg(F.sum(F.col("c") + F.lit(0.1)).alias("c")).collect():
+        mass[row["k"]] += row["c"]
     mass[EDGE] = trained + 0.1 if trained else 0.0
     mass[OTHER] = 0.1  # the unknown word
     n[OTHER] = n.sum(0)  # after an unknown word, the classes of all tokens
@@ -575,26 +651,15 @@ def learn(training: DataFrame, counts: DataFrame, share: float = SHARE) -> Model
 
 def _scored(stream: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Per text: tokens, known ones, sum of the logarithms of their counts and of the class terms."""
-    size = len(model.table.counts)
-    by_rank, logs_by_rank = np.full(size, OTHER), np.zeros(size + 1)
-    by_rank[model.table.rank] = model.classes
-    logs_by_rank[model.table.rank] = np.log10(model.table.counts + 0.1)
     end = np.log10(model.train_texts + 0.1)
-
-    def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        return np.array([values[a:b].sum() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)])
-
-    for run in _runs(stream):
-        n, c = len(run.keys), run.column("c")
-        logs, known = logs_by_rank[np.minimum(run.ids, size)], np.ones(len(run.ids), np.int64)
-        logs[run.at], known[run.at] = np.log10(c + 0.1), c > 0
-        before, full = _sequences(run.bounds, run.kinds(by_rank), EDGE)
+    for rows, bounds, kinds in _classes(stream):
+        before, full = _sequences(bounds, kinds, EDGE)
         columns = [
-            run.keys,
-            pa.array(np.diff(run.bounds) + 1, pa.int64()),
-            pa.array(sums(known, run.bounds) + (1 if model.train_texts else 0), pa.int64()),
-            pa.array(sums(logs, run.bounds) + end, pa.float64()),
-            pa.array(sums(model.terms[before, full], run.bounds + np.arange(n + 1)), pa.float64()),
+            rows.column("key"),
+            pa.array(np.diff(bounds) + 1, pa.int64()),
+            pa.array(rows.column("n_known").to_numpy() + (1 if model.train_texts else 0)),
+            pa.array(rows.column("logs").to_numpy() + end),
+            pa.array(_sums(model.terms[before, full], bounds + np.arange(len(bounds)))),
         ]
         yield pa.RecordBatch.from_arrays(columns, ["key", "n_tokens", "n_known", "logs", "classes"])
 
@@ -615,7 +680,8 @@ def log_probabilities(documents: DataFrame, doc_id: str = "doc_id", text: str =
     table = frequent_table(counts)
     model, texts = fit(materialize(encoded(rows, table), "encoded"), counts, table)
     shared = spark.sparkContext.broadcast(model)
-    parts = texts.select("key", "ids", "rare").mapInArrow(
+    forget(counts)
+    parts = texts.mapInArrow(
         lambda s: _scored(s, shared.value), "key long, n_tokens long, n_known long, logs double, classes double"
     )
     ids = keyed.select(F.col("__key").alias("key"), F.col(doc_id).alias("doc_id"))

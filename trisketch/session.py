@@ -94,3 +94,9 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove an intermediate folder that no frame reads any more."""
     store, target = _store(spark, path)
     store.delete(target, True)
+
+
+def forget(df: DataFrame) -> None:
+    """Remove the folder of a frame that `materialize` gave and that no frame reads any more."""
+    for folder in {path.rpartition("/")[0] for path in df.inputFiles()}:
+        remove_folder(df.sparkSession, folder)
